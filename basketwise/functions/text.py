@@ -11,8 +11,8 @@ STOPWORDS = (
     "they their not no so just very also one use used product food item order buy bought get got"
 ).split()
 
-# Fixed value: ASCII punctuation.
-PUNCTUATION = r"!\"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+# Fixed value: ASCII punctuation, as character ranges.
+PUNCTUATION = r"!-/:-@\[-`{-~"
 
 SPACES = r"(?U)\s+"
 

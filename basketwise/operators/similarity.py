@@ -14,10 +14,12 @@ part added.
 
 from __future__ import annotations
 
+import sys
 from math import ceil
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ from basketwise.session import materialise
 
 BLOCK_ROWS = 4096
 
+# the block comparison runs in Python workers, which need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def purchase_matrix(retail: DataFrame) -> DataFrame:
     """Units bought per customer and product, as a long table."""
