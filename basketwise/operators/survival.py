@@ -13,6 +13,19 @@ from basketwise.functions.numeric import exact_mean, exact_sum, floor_days, perc
 from basketwise.operators.ranking import exact_quantiles
 
 
+def favourite_countries(retail: DataFrame) -> DataFrame:
+    """Most frequent country per customer, the first by name where several are.
+
+    Counted per customer and country first: that keeps the aggregation in plain hash tables, where a
+    mode next to the distinct counts would sort every line three times.
+    """
+    counts = retail.where(F.col("Country").isNotNull()).groupBy("Customer ID", "Country").agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+    best = F.min(F.struct((-F.col("lines")).alias("less"), "Country")).alias("best")
+    return counts.groupBy("Customer ID").agg(best).select("Customer ID", F.col("best.Country").alias("favourite_country"))
+
+
 def survival_features(retail: DataFrame, churn_days: int = 90) -> DataFrame:
     """One row per customer: purchase history, duration, churn flag and purchase rate.
 
@@ -27,9 +40,8 @@ def survival_features(retail: DataFrame, churn_days: int = 90) -> DataFrame:
         F.sum("Quantity").alias("total_items"),
         F.count_distinct("StockCode").alias("unique_products"),
         exact_mean(F.col("TotalSpend")).alias("avg_order_value"),
-        F.mode("Country", True).alias("favourite_country"),
     )
-    days = history.withColumns(
+    days = history.join(favourite_countries(retail), "Customer ID", "left").withColumns(
         {
             "duration": floor_days(F.col("first_purchase"), F.col("last_purchase")),
             "days_since_last": floor_days(F.col("last_purchase"), last_day),

@@ -236,18 +236,18 @@ QUERIES: dict[str, Query] = {
     "lines_by_weekday": lambda lc: profiling.lines_by_weekday(lc.retail),
     # recency, frequency, spend
     "rfm_metrics": lambda lc: lc.rfm_metrics,
-    "rfm_describe": lambda lc: ranking.describe(lc.rfm_metrics, rfm.METRICS),
+    "rfm_describe": lambda lc: ranking.describe(lc.stored_metrics, rfm.METRICS),
     "rfm_score_describe": lambda lc: ranking.describe(lc.rfm_segments, ["R_Score", "F_Score", "M_Score", "RFM_Score"]),
-    "rfm_scores": lambda lc: rfm.rfm_scores(lc.rfm_metrics),
+    "rfm_scores": lambda lc: rfm.rfm_scores(lc.stored_metrics),
     "rfm_segments": lambda lc: lc.rfm_segments,
     "rfm_segment_counts": lambda lc: rfm.value_shares(lc.rfm_segments, "RFM_Segment"),
     "segment_avg_revenue": lambda lc: rfm.segment_avg_revenue(lc.rfm_segments, "RFM_Segment"),
     "rfm_score_histogram": lambda lc: histogram(lc.rfm_segments, "RFM_Score", 12),
-    "rfm_scaled": lambda lc: _rounded(rfm.rfm_scaled(lc.rfm_metrics), 9, "Recency_z", "Frequency_z", "Monetary_z"),
+    "rfm_scaled": lambda lc: _rounded(rfm.rfm_scaled(lc.stored_metrics), 9, "Recency_z", "Frequency_z", "Monetary_z"),
     # clusters
     "kmeans_segments": lambda lc: lc.kmeans_segments,
     "kmeans_profile": lambda lc: cluster.cluster_profile(lc.kmeans_segments),
-    "kmeans_elbow": lambda lc: cluster.kmeans_elbow(lc.rfm_metrics),
+    "kmeans_elbow": lambda lc: cluster.kmeans_elbow(lc.stored_metrics),
     "label_clusters": _label_profile,
     # survival
     "survival_features": lambda lc: lc.features,

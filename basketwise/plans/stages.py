@@ -52,9 +52,14 @@ class Lifecycle:
     def rfm_metrics(self) -> DataFrame:
         return rfm.rfm_metrics(self.retail)
 
+    @cached_property
+    def stored_metrics(self) -> DataFrame:
+        """Customer metrics as a table: ranking, scoring and scaling read them, not the order lines."""
+        return materialise(self.rfm_metrics, "rfm-metrics")
+
     @cached_property
     def rfm_segments(self) -> DataFrame:
-        return rfm.rfm_segments(rfm.rfm_scores(self.rfm_metrics))
+        return rfm.rfm_segments(rfm.rfm_scores(self.stored_metrics))
 
     @cached_property
     def kmeans_segments(self) -> DataFrame:
@@ -64,9 +69,14 @@ class Lifecycle:
     def features(self) -> DataFrame:
         return survival.survival_features(self.retail)
 
+    @cached_property
+    def stored_features(self) -> DataFrame:
+        """Customer features as a table: the spend cuts and the segments read them, not the order lines."""
+        return materialise(self.features, "features")
+
     @cached_property
     def survival(self) -> DataFrame:
-        return survival.survival_segments(self.features)
+        return survival.survival_segments(self.stored_features)
 
     @cached_property
     def at_risk(self) -> DataFrame:
@@ -82,7 +92,7 @@ class Lifecycle:
 
     @cached_property
     def cox_rows(self) -> DataFrame:
-        return cox.cox_features(self.features)
+        return cox.cox_features(self.stored_features)
 
     @cached_property
     def cox_model(self) -> cox.CoxModel:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwise.sources.readers import read_table, union_parts
+from basketwise.sources.readers import read_table, spread, union_parts
 from basketwise.sources.schemas import RETAIL_RAW, REVIEWS_RAW, conform
 
 SPLIT_DATE = "1998-05-01"
@@ -24,7 +24,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     free = (F.col("l_linenumber") == 1) & (F.col("l_tax") == 0.08)
     ordered = F.col("o_orderdate").cast("timestamp")
     return (
-        table("lineitem")
+        spread(table("lineitem"), "l_orderkey", "l_partkey")
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -60,7 +60,7 @@ def retail_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("doc_id")
-    df = read_table(spark, f"{sf_dir}/documents.parquet").select(
+    df = spread(read_table(spark, f"{sf_dir}/documents.parquet"), "doc_id").select(
         doc.alias("Id"),
         F.concat(F.lit("P"), (F.col("n_chars") % 150).cast("string")).alias("ProductId"),
         F.concat(F.lit("U"), (doc % 40).cast("string")).alias("UserId"),

@@ -18,6 +18,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-distribute a scan that has fewer splits than the session has cores; leave others alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
