@@ -69,7 +69,8 @@ def _occurrences(docs: DataFrame, keys: Sequence[str], texts: Sequence[str]) ->
         ).alias("z"),
     )
     return (
-        marked.select(*keys, "field", "emphasis", "mixed", "but_at", F.posexplode("z").alias("at", "z"))
+        # the outer form: for the inner one Spark would split every text once more to filter out empty ones
+        marked.select(*keys, "field", "emphasis", "mixed", "but_at", F.posexplode_outer("z").alias("at", "z"))
         .select(*keys, "field", "emphasis", "mixed", "but_at", "at", "z.*")
         .where("w0 IS NOT NULL")
     )

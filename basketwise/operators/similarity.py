@@ -134,35 +134,65 @@ def _compare_blocks(keep: int):
     return compare
 
 
+def _cuts(df: DataFrame, key: str, rows: int) -> list[float]:
+    """Values that cut a column into ranges of about ``BLOCK_ROWS`` rows."""
+    parts = ceil(rows / BLOCK_ROWS)
+    if parts < 2:
+        return []
+    return df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)])).first()[0]
+
+
+def _below(cuts: list[float], value: Column) -> Column:
+    """Number of cuts below a value."""
+    if not cuts:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
+
+
 def _popular_only(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
-    """Candidates by popular products alone, at least the k best of each customer."""
+    """Candidates by popular products alone, at least the k best of each customer.
+
+    With p = |popular part|^2 / |b|^2 no customer b is closer to a basket than p allows. A basket with
+    k + 1 members of its own therefore needs no one whose p is below its members' least. Baskets are
+    laid out by that bound and candidates by p, and only blocks that can matter to each other meet.
+    """
 
     def baskets(rows: DataFrame) -> DataFrame:
         # a basket holds at most the popular products of one customer
         return rows.groupBy("CustomerID", "n2").agg(
-            F.sort_array(F.collect_list(F.struct("StockCode", "q"))).alias("items")
+            F.sort_array(F.collect_list(F.struct("StockCode", "q"))).alias("items"),
+            (F.sum(F.col("q") * F.col("q")) / F.col("n2")).alias("p"),
         )
 
     owned = materialise(baskets(right), "popular-baskets")
     shortest = Window.partitionBy("items").orderBy("n2", "CustomerID")
-    members = owned.withColumn("_n", F.row_number().over(shortest)).where(F.col("_n") <= k + 1).drop("_n")
-    members = materialise(members, "basket-members")
-    asking = baskets(left) if left is not right else owned
+    # ranges of equal values are told apart by a fraction that only ever loosens the bound
+    noise = F.pmod(F.xxhash64("CustomerID"), F.lit(1000)) * 1e-12
+    members = materialise(
+        owned.withColumn("_n", F.row_number().over(shortest)).where(F.col("_n") <= k + 1).drop("_n")
+        .withColumn("reach", F.col("p") + noise),
+        "basket-members",
+    )
+    asking = owned if left is right else baskets(left)
+    bounds = members.groupBy("items").agg(
+        F.when(F.count(F.lit(1)) > k, F.min("p")).otherwise(0.0).alias("bound"), F.min("CustomerID").alias("first")
+    )
     named = materialise(
-        asking.select("items").distinct().withColumn("basket", F.monotonically_increasing_id()), "basket-names"
+        (bounds if left is right else bounds.join(asking.select("items").distinct(), "items", "left_semi"))
+        .withColumn("basket", F.monotonically_increasing_id())
+        .withColumn("start", F.col("bound") - F.pmod(F.xxhash64("first"), F.lit(1000)) * 1e-12),
+        "basket-names",
     )
-    across = ceil(named.count() / BLOCK_ROWS) or 1
-    down = ceil(members.count() / BLOCK_ROWS) or 1
+    reach_cuts, start_cuts = _cuts(members, "reach", members.count()), _cuts(named, "start", named.count())
     arrays = [F.col("items.StockCode").alias("codes"), F.col("items.q").alias("units")]
     queries = named.select(
-        "basket", *arrays,
-        F.pmod(F.xxhash64("basket"), F.lit(across)).cast("long").alias("i"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(down - 1).cast("long"))).alias("j"),
+        "basket", *arrays, _below(start_cuts, F.col("start")).alias("i"),
+        F.explode(F.sequence(_below(reach_cuts, F.col("bound")), F.lit(len(reach_cuts)))).alias("j"),
     )
     candidates = members.select(
         F.col("CustomerID").alias("b"), F.col("n2").alias("n2b"), *arrays,
-        F.pmod(F.xxhash64("CustomerID"), F.lit(down)).cast("long").alias("j"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(across - 1).cast("long"))).alias("i"),
+        F.explode(F.sequence(F.lit(0), _below(start_cuts, F.col("reach")))).alias("i"),
+        _below(reach_cuts, F.col("reach")).alias("j"),
     )
     best = (
         queries.groupBy("i", "j")

@@ -63,7 +63,8 @@ class Lifecycle:
 
     @cached_property
     def kmeans_segments(self) -> DataFrame:
-        return cluster.kmeans_segments(materialise(self.rfm_segments, "rfm-segments"))
+        segments = cluster.kmeans_segments(materialise(self.rfm_segments, "rfm-segments"))
+        return materialise(segments, "kmeans-segments")
 
     @cached_property
     def features(self) -> DataFrame:
