@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -17,13 +18,14 @@ from basketwise.session import materialise
 
 SEED = 42
 STARTS = 10
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
+ROWS_PER_PARTITION = 100_000
 
 
-def _points(metrics: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Scaled points with a fixed layout: K-Means picks its first centres by partition."""
-    parts = partitions or int(metrics.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _points(metrics: DataFrame) -> DataFrame:
+    """Scaled points in a layout that depends on the data alone: K-Means picks its first centres by partition."""
     scaled = materialise(rfm_scaled(metrics), "rfm-scaled")
+    parts = ceil(scaled.count() / ROWS_PER_PARTITION) or 1
     laid_out = scaled.repartition(parts, "CustomerID").sortWithinPartitions("CustomerID")
     columns = [f"{m}_z" for m in METRICS]
     return VectorAssembler(inputCols=columns, outputCol="features").transform(laid_out).select("CustomerID", "features")
@@ -38,11 +40,9 @@ def _best_fit(points: DataFrame, k: int, starts: int, max_iter: int) -> KMeansMo
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def kmeans_clusters(
-    metrics: DataFrame, k: int = 4, starts: int = STARTS, max_iter: int = 20, partitions: int | None = None
-) -> DataFrame:
+def kmeans_clusters(metrics: DataFrame, k: int = 4, starts: int = STARTS, max_iter: int = 20) -> DataFrame:
     """Cluster number per customer from the best of several starts."""
-    points = _points(metrics, partitions).persist()
+    points = _points(metrics).persist()
     try:
         model = _best_fit(points, k, starts, max_iter)
         return materialise(model.transform(points).select("CustomerID", "Cluster"), "clusters")
@@ -55,10 +55,9 @@ def kmeans_elbow(
     ks: Iterable[int] = range(2, 9),
     starts: int = STARTS,
     max_iter: int = 20,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) for several numbers of clusters."""
-    points = _points(metrics, partitions).persist()
+    points = _points(metrics).persist()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
     rows = []
     try:

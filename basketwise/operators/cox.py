@@ -13,6 +13,7 @@ from itertools import combinations_with_replacement
 from statistics import NormalDist
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,7 +98,7 @@ def _per_time(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
 def _derivatives(rows: DataFrame, p: int, beta: np.ndarray):
     """Partial log-likelihood with gradient, Hessian and the baseline hazard steps."""
     spark = rows.sparkSession
-    table = _per_time(rows, p, beta).orderBy(F.desc("duration")).toPandas()
+    table = _per_time(rows, p, beta).toArrow().to_pandas().sort_values("duration", ascending=False, ignore_index=True)
     # sums over all who leave at or after a time
     hazard = table["h"].to_numpy().cumsum()
     first = np.stack([table[f"h_{j}"].to_numpy().cumsum() for j in range(p)], axis=1)
@@ -112,11 +113,8 @@ def _derivatives(rows: DataFrame, p: int, beta: np.ndarray):
     has_event = table["d"].to_numpy() > 0
     times = table["duration"].to_numpy()[has_event]
     d, tied = table["d"].to_numpy()[has_event], table["eh"].to_numpy()[has_event]
-    risk = spark.createDataFrame(
-        [(int(t), int(n), float(r), float(e)) for t, n, r, e in zip(times, d, hazard[has_event], tied, strict=True)],
-        "duration long, d long, R double, T double",
-    )
-    sums = _tie_sums(risk).toPandas().set_index("duration").loc[times]
+    risk = spark.createDataFrame(pa.table({"duration": times, "d": d, "R": hazard[has_event], "T": tied}))
+    sums = _tie_sums(risk).toArrow().to_pandas().set_index("duration").loc[times]
     i1, f1, i2, f2, g2 = (sums[c].to_numpy() for c in ("i1", "f1", "i2", "f2", "g2"))
     s1, t1 = first[has_event], np.stack([table[f"eh_{j}"].to_numpy()[has_event] for j in range(p)], axis=1)
     s2, t2 = second[has_event], square("eh")[has_event]

@@ -118,3 +118,16 @@ def test_publish_cleans_names_and_counts(spark, tmp_path):
     assert [tuple(r) for r in counts.collect()] == [("t", 1)]
     assert readers.catalog_table(spark, "publish_test.t").columns == ["Customer_ID", "a_b"]
     assert spark.sql("SHOW TABLES IN publish_test").where(F.col("tableName") == "t").count() == 1
+
+
+def test_cleaning_rules_and_columns_reach_the_scan(spark, lines, tmp_path):
+    writers.write_parquet(lines, str(tmp_path / "lines"))
+    stored = readers.read_table(spark, str(tmp_path / "lines"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = profiling.monthly_revenue(cleaning.clean_retail(stored))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    pushed, read = scan.split("PushedFilters:")[1].split("ReadSchema:")
+    for rule in ("GreaterThan(Quantity,0)", "GreaterThan(Price,0.0)", "StringStartsWith(Invoice,C)", "Customer ID"):
+        assert rule in pushed
+    assert "Description" not in read and "Country" not in read
