@@ -72,27 +72,22 @@ def _tie_sums(times: DataFrame) -> DataFrame:
 
 
 def _per_time(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
-    """One row per duration: hazard-weighted moments of those leaving then, and of the events."""
-    eta = F.lit(0.0)
-    for j in range(p):
-        eta = eta + F.col(f"x{j}") * F.lit(float(beta[j]))
-    weighted = rows.withColumn("h", F.exp(eta)).withColumn("e", F.col("churned").cast("double"))
-    aggs = [
-        F.sum(F.col("churned").cast("long")).alias("d"),
-        F.sum("h").alias("h"),
-        F.sum(F.col("e") * F.col("h")).alias("eh"),
-        F.sum(F.col("e") * eta).alias("e_eta"),
-    ]
+    """One row per duration: hazard-weighted moments of those leaving then, and of the events.
+
+    Written as SQL text: some fifty sums are parsed faster in one place than built call by call.
+    """
+    eta = " + ".join(f"x{j} * {float(beta[j])!r}D" for j in range(p))
+    sums = {"d": "CAST(churned AS LONG)", "h": "h", "eh": "e * h", "e_eta": "e * eta"}
     for j in range(p):
-        aggs += [
-            F.sum(F.col("h") * F.col(f"x{j}")).alias(f"h_{j}"),
-            F.sum(F.col("e") * F.col("h") * F.col(f"x{j}")).alias(f"eh_{j}"),
-            F.sum(F.col("e") * F.col(f"x{j}")).alias(f"e_{j}"),
-        ]
+        sums |= {f"h_{j}": f"h * x{j}", f"eh_{j}": f"e * h * x{j}", f"e_{j}": f"e * x{j}"}
     for i, j in combinations_with_replacement(range(p), 2):
-        moment = F.col("h") * F.col(f"x{i}") * F.col(f"x{j}")
-        aggs += [F.sum(moment).alias(f"h_{i}_{j}"), F.sum(F.col("e") * moment).alias(f"eh_{i}_{j}")]
-    return weighted.groupBy("duration").agg(*aggs)
+        sums |= {f"h_{i}_{j}": f"h * x{i} * x{j}", f"eh_{i}_{j}": f"e * h * x{i} * x{j}"}
+    return (
+        rows.selectExpr("*", f"{eta} AS eta", "CAST(churned AS DOUBLE) AS e")
+        .selectExpr("*", "exp(eta) AS h")
+        .groupBy("duration")
+        .agg(*[F.expr(f"sum({value}) AS {name}") for name, value in sums.items()])
+    )
 
 
 def _derivatives(rows: DataFrame, p: int, beta: np.ndarray):

@@ -402,11 +402,6 @@ def _rounded(source: str, digits: int, *columns: str) -> str:
     return f"SELECT * REPLACE ({', '.join(f'{_even(c, digits)} AS {c}' for c in columns)}) FROM {source}"
 
 
-def _largest_baskets() -> str:
-    chosen = "(SELECT CustomerID FROM purchase_matrix GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 3)"
-    return f"SELECT * FROM long_lists WHERE CustomerID IN {chosen}"
-
-
 _SURVIVAL_AT = (
     "SELECT {t} AS time, coalesce((SELECT arg_max(survival, time) FROM curve WHERE time <= {t}), 1.0) AS survival"
 )
@@ -513,7 +508,8 @@ _BODIES = {
     "top_neighbours": "SELECT * FROM top_neighbours",
     "top_neighbours_popular_split": "SELECT * FROM top_neighbours",
     "recommendations": "SELECT * FROM recommendations",
-    "recommend_for_customer": _largest_baskets(),
+    "recommend_for_customer": """
+        SELECT * FROM long_lists WHERE CustomerID = (SELECT MIN(CustomerID) FROM purchase_matrix)""",
     "rec_summary": "SELECT * FROM rec_summary",
     "top_recommended_products": f"""
         SELECT StockCode, total_score,

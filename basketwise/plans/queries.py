@@ -190,14 +190,10 @@ def _recommendation_metrics(lc: Lifecycle) -> DataFrame:
 
 
 def _recommend_some(lc: Lifecycle) -> DataFrame:
-    """Point lookup for the customers of one nation with the largest baskets, and for an unknown id."""
-    chosen = (
-        lc.stored_matrix.groupBy("CustomerID").count().orderBy(F.desc("count"), "CustomerID").limit(3).select("CustomerID")
-    )
+    """Point lookup: ten products for the first customer; an unknown id gives no rows."""
     unknown = lc.spark.range(1).select(F.lit(-1).cast("long").alias("CustomerID"))
-    return recommend.recommend(
-        lc.stored_matrix, lc.descriptions, n=10, customers=materialise(chosen.unionByName(unknown), "asked")
-    )
+    asked = recommend.first_customers(lc.stored_matrix, 1).unionByName(unknown)
+    return recommend.recommend(lc.stored_matrix, lc.descriptions, n=10, customers=materialise(asked, "asked"))
 
 
 def _dash(name: str, table: str, df: Callable[[Lifecycle], DataFrame]) -> Query:

@@ -12,6 +12,11 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def append_parquet(df: DataFrame, path: str) -> None:
+    """Add rows to a table, as for the metrics of another run."""
+    df.write.mode("append").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV parts, each with the header; quotes inside cells are doubled."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)

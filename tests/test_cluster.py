@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from basketwise.operators import cluster, master, rfm
+from basketwise.sinks import writers
 
 
 def _blobs(spark):
@@ -55,3 +56,17 @@ def test_dashboard_orders_by_revenue(spark, name):
     df = spark.createDataFrame(rows, "RFM_Segment string, Monetary double, churned int")
     got = [tuple(r) for r in master.dashboard(name, {"master_customers": df}).collect()]
     assert got == [("b", 1, 20.0, 0.0), ("a", 2, 11.0 if name.endswith("revenue") else 11.4, 50.0)]
+
+
+def test_metrics_of_runs_pile_up_in_one_table(spark, tmp_path):
+    values = spark.createDataFrame([(3, 0.5)], "customers long, rate double")
+    for run in ("a", "b"):
+        writers.append_parquet(master.run_metrics(values, run, {"model": "x", "k": 4}), str(tmp_path / "metrics"))
+    rows = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "metrics")).where("run = 'a'").collect())
+    assert rows == [
+        ("a", "metric", "customers", 3.0, None),
+        ("a", "metric", "rate", 0.5, None),
+        ("a", "parameter", "k", 4.0, None),
+        ("a", "parameter", "model", None, "x"),
+    ]
+    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 8
