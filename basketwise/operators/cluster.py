@@ -40,7 +40,7 @@ def _best_fit(points: DataFrame, k: int, starts: int, max_iter: int) -> KMeansMo
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def kmeans_clusters(metrics: DataFrame, k: int = 4, starts: int = STARTS, max_iter: int = 20) -> DataFrame:
+def kmeans_clusters(metrics: DataFrame, k: int = 4, starts: int = STARTS, max_iter: int = 300) -> DataFrame:
     """Cluster number per customer from the best of several starts."""
     points = _points(metrics).persist()
     try:
@@ -54,7 +54,7 @@ def kmeans_elbow(
     metrics: DataFrame,
     ks: Iterable[int] = range(2, 9),
     starts: int = STARTS,
-    max_iter: int = 20,
+    max_iter: int = 300,
 ) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) for several numbers of clusters."""
     points = _points(metrics).persist()
