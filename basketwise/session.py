@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +16,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a folder of its own machine.
-    """
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, else a folder of the warehouse."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="basketwise-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
