@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwise.llm import bpe, sharding, warc
+from basketwise.llm import bpe, langid, ngram_join, sharding, warc
 from basketwise.llm.workers import ready
 from basketwise.sources.readers import read_table
 
@@ -24,6 +24,19 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = langid.fit(docs.where(~held), vocabulary)
+    found = langid.predict(docs.select("doc_id", "text"), model, vocabulary)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -50,6 +63,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_ngram_join": op2_ngram_join,
+    "op4_langid": op4_langid,
     "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
 }
