@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwise.llm import bpe, langid, ngram_join, sharding, substring, warc
+from basketwise.llm import bpe, langid, ngram_join, sharding, substring, suffix, warc
 from basketwise.llm.workers import ready
 from basketwise.sources.readers import read_table
 
@@ -37,6 +37,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
     "op4_langid": op4_langid,
+    "op6_suffix": op6_suffix,
     "op7_substring": op7_substring,
     "op8_bpe": op8_bpe,
     "op10_sharding": op10_sharding,
