@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketwise.llm import bpe, langid, ngram_join, sharding, substring, suffix, warc
+from basketwise.llm import bpe, decontaminate, langid, neardup, ngram_join, preference, sharding, substring, suffix, warc
 from basketwise.llm.workers import ready
 from basketwise.sources.readers import read_table
 
@@ -28,6 +28,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -37,6 +42,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -58,6 +67,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.format_preferences(_table(spark, sf_dir, "conversations"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_by_bytes(docs, 8, keep=["doc_id"]).select(
@@ -74,10 +87,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
+    "op3_decontaminate": op3_decontaminate,
     "op4_langid": op4_langid,
+    "op5_near_vectors": op5_near_vectors,
     "op6_suffix": op6_suffix,
     "op7_substring": op7_substring,
     "op8_bpe": op8_bpe,
+    "op9_preferences": op9_preferences,
     "op10_sharding": op10_sharding,
 }
 
