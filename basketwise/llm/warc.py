@@ -145,7 +145,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     cut = records.where(~ends).select("file", F.col("offset").alias("owner"), "head", "skip", "declared")
     cut = materialise(cut, "warc-cut")
     last = F.col("owner") + len(VERSION) + F.col("skip") + F.col("declared")
-    again = _placed(_pieces(spark, path)).select("file", "offset", "value")
+    files = cut.select("file").distinct()
+    again = _placed(_pieces(spark, path).join(files, "file", "left_semi")).select("file", "offset", "value")
     parts = again.join(cut, "file").where((F.col("offset") >= F.col("owner")) & (F.col("offset") < last))
     joined = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("offset", "value"))), lambda x: x["value"]), VERSION
