@@ -28,6 +28,13 @@ def pairs_by_opening(listed: DataFrame) -> DataFrame:
     return pairs.select("chosen_id", F.col("conv_id").alias("rejected_id"))
 
 
+def pairs_by_number(listed: DataFrame) -> DataFrame:
+    """(chosen_id, rejected_id): conversation 2k against 2k + 1."""
+    even, odd = (listed.where(F.pmod("conv_id", F.lit(2)) == i).select("conv_id") for i in (0, 1))
+    odd = odd.select(F.col("conv_id").alias("rejected_id"), (F.col("conv_id") - 1).alias("conv_id"))
+    return even.join(odd, "conv_id").select(F.col("conv_id").alias("chosen_id"), "rejected_id")
+
+
 def _head(turn: Column) -> Column:
     return F.concat(F.lit("<|im_start|>"), F.coalesce(turn["role"], F.lit("")), F.lit("\n"))
 
@@ -85,7 +92,9 @@ def preference_records(listed: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def format_preferences(turns: DataFrame) -> DataFrame:
-    """Records of all pairs of conversations with the same first turn; ``turns``: conv_id, turn, role, text. Other columns are
-    ignored, an empty table gives no records."""
+    """Records of conversations with the same first turn and of those with numbers 2k and 2k + 1, each pair once.
+
+    ``turns``: conv_id, turn, role, text; other columns are ignored. An empty table gives no records.
+    """
     listed = materialise(conversations_by_id(turns), "conversations")
-    return preference_records(listed, pairs_by_opening(listed))
+    return preference_records(listed, pairs_by_opening(listed).unionByName(pairs_by_number(listed)).distinct())

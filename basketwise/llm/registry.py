@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from basketwise.llm import bpe, decontaminate, langid, neardup, ngram_join, preference, sharding, substring, suffix, warc
 from basketwise.llm.workers import ready
 from basketwise.sources.readers import read_table
@@ -95,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_preferences": op9_preferences,
     "op10_sharding": op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
