@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from basketwise.llm import bpe, decontaminate, langid, neardup, ngram_join, preference, sharding, substring, suffix, warc
+from basketwise.llm.oracles import ORACLES
 from basketwise.llm.workers import ready
 from basketwise.sources.readers import read_table
 
@@ -69,7 +70,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference.format_preferences(_table(spark, sf_dir, "conversations"))
+    records = preference.format_preferences(_table(spark, sf_dir, "conversations"))
+    runs = lambda c: F.array_join(F.transform(c, lambda m: F.concat_ws(":", m["n"].cast("string"), m["trained"].cast("string"))), ",")
+    return records.withColumns({"chosen_mask": runs("chosen_mask"), "rejected_mask": runs("rejected_mask")})
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,5 +101,4 @@ QUERIES: dict[str, Query] = {
     "op10_sharding": op10_sharding,
     "pipeline": corpus_pipeline.run,
 }
-
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
