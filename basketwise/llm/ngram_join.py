@@ -7,7 +7,8 @@
 3. Index: sets are ordered by rising frequency of their grams and list their first grams only; a pair that reaches the
    threshold shares one of these. Lists whose sets are one component already are skipped as a whole, within the others
    blocks are skipped by set size and position, as far as their bound rules them out.
-4. For pairs found there, the leaders are compared first. The overlap of two members follows from that of their leaders up to the
+4. Pairs found there whose parity bitmaps differ in too many bits cannot reach the threshold and are dropped. For the others the
+   leaders are compared first. The overlap of two members follows from that of their leaders up to the
    few grams in which they differ: most pairs are decided by these bounds, the rest is compared exactly.
 
 Links within a component found before are not listed again: the result is the classes, not all pairs.
@@ -32,7 +33,7 @@ _OFTEN = 3  # a gram in so many sets of one chunk is counted as frequent
 _FREQUENT = 1 << 16  # frequent grams that are told apart in the order of grams
 _LIST = 1_000_000  # index entries per bucket
 _BLOCK = 512
-_META = "doc_id long, n_shingles long, digest binary, sid long, minima array<long>, frequent binary"
+_META = "doc_id long, n_shingles long, digest binary, sid long, minima array<long>, bits binary, frequent binary"
 _ENTRY = np.dtype([("gram", "<u8"), ("sid", "<i8"), ("pos", "<u2")])
 
 
@@ -52,29 +53,45 @@ def _digest(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
+def _parities(grams: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of grams fall on it; two bits per gram, or some more."""
+    size = 1 << max(6, (2 * len(grams) - 1).bit_length())
+    counts = np.bincount((grams >> np.uint64(20)).astype(np.int64) & (size - 1), minlength=size)
+    return np.packbits(counts & 1).tobytes()
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """Bits in which two parity maps differ: at most as many as the grams that only one of the sets has."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (a, b))  # places are taken modulo the size
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _measure(docs: DataFrame, k: int) -> DataFrame:
     """Per document the size, identity and hash minima of its set; besides, rows with the frequent grams of a chunk."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()),
-         ("minima", pa.list_(pa.int64())), ("frequent", pa.binary())]
+         ("minima", pa.list_(pa.int64())), ("bits", pa.binary()), ("frequent", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for low, high, data, offsets in text_chunks(batch.column(1)):
-                sizes, digests, minima, distinct = [], [], [], {}
+                sizes, digests, minima, bits, distinct = [], [], [], [], {}
                 for grams in _sets(data, offsets, k):
                     sizes.append(len(grams))
                     digests.append(_digest(grams) if len(grams) else None)
                     minima.append([int((grams * np.uint64(s)).min().view(np.int64)) for s in _SEEDS] if len(grams) else [])
+                    bits.append(_parities(grams) if len(grams) else None)
                     distinct[digests[-1]] = grams
                 seen, count = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
                 often = count >= _OFTEN
                 packed = np.rec.fromarrays([seen[often], count[often].astype(np.int64)]).tobytes()
                 sid = [None if d is None else int.from_bytes(d[:8], "little", signed=True) for d in digests]
                 rows = [ids.slice(low, high - low).to_pylist() + [None], sizes + [None], digests + [None], sid + [None],
-                        minima + [None], [None] * len(sizes) + [packed]]
+                        minima + [None], bits + [None], [None] * len(sizes) + [packed]]
                 yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, schema)], schema=schema)
 
     return docs.mapInArrow(run, _META)
@@ -154,25 +171,32 @@ def _index(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, buckets:
     return dealt.mapInArrow(shared, "gram long, sid long, pos int")
 
 
-def _tokens(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, grams) of the documents in ``ids``."""
+def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, most): the sizes of a pair and what its parity bitmaps let it share at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_chunks(batch.column(1), 1 << 20):
-                blobs = [g.tobytes() for g in _sets(data, offsets, k)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(blobs, pa.binary())], names=["id", "grams"]
-                )
+            n_a, n_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            apart = np.array([_differ(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], np.int64)
+            most = np.minimum((n_a + n_b - apart) // 2, np.minimum(n_a, n_b))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(most, pa.int64())], names=["a", "b", "n_a", "n_b", "most"])
 
-    chosen = docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
-    return chosen.mapInArrow(run, "id long, grams binary")
+    of_a, of_b = (nodes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+    joined = pairs.select("a", "b").join(of_b, "b").join(of_a, "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return joined.mapInArrow(run, "a long, b long, n_a long, n_b long, most long")
 
 
-def _overlaps(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, both) of every pair (a, b)."""
+def _overlaps(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(a, b, n_a, n_b, both) of every pair (a, b) of documents."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_chunks(batch.column(2), 1 << 20):
+                blobs = [g.tobytes() for g in _sets(data, offsets, k)]
+                ids = [batch.column(i).slice(low, high - low) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*ids, pa.array(blobs, pa.binary())], names=["a", "b", "grams"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes: list[list[int]] = [[], [], []]
             for x, y in zip(batch.column(2), batch.column(3)):
@@ -183,10 +207,13 @@ def _overlaps(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
             arrays = [pa.array(s, pa.int64()) for s in sizes]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["a", "b", "n_a", "n_b", "both"])
 
-    left = tokens.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
-    right = tokens.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
-    joined = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "grams_a", "grams_b")
-    return joined.mapInArrow(run, "a long, b long, n_a long, n_b long, both long")
+    members = docs.join(pairs.select("a", F.col("b").alias("doc_id")), "doc_id").select("a", F.col("doc_id").alias("b"), "text")
+    leaders = docs.join(pairs.select(F.col("a").alias("doc_id")).distinct(), "doc_id")
+    leaders = leaders.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "text")
+    right = members.mapInArrow(hashed, "a long, b long, grams binary").withColumnRenamed("grams", "grams_b")
+    left = leaders.mapInArrow(hashed, "a long, b long, grams binary").select("a", F.col("grams").alias("grams_a"))
+    joined = right.join(left, "a").select("a", "b", "grams_a", "grams_b")
+    return joined.mapInArrow(compare, "a long, b long, n_a long, n_b long, both long")
 
 
 def _candidates(lists: DataFrame, percent: int) -> DataFrame:
@@ -252,21 +279,18 @@ def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: st
     measured = materialise(_measure(docs, k), "ngram-sets")
     meta = measured.where("frequent is null")
     sets = meta.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sid").alias("sid"), F.first("minima").alias("minima")
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sid").alias("sid"),
+        F.first("minima").alias("minima"), F.first("bits").alias("bits"),
     )
     sets = materialise(sets, "ngram-distinct")
     nodes = sets.where("rep is not null")
 
-    minima = nodes.select("rep", "n", F.posexplode("minima").alias("seed", "least"))
-    leaders = minima.groupBy("seed", "least").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("sets"), F.min(F.struct("rep", "n")).alias("of"))
-    led = leaders.where("sets > 1").select("seed", "least", "a", F.col("of.n").alias("n_a"))
-    shared = minima.join(led, ["seed", "least"]).where("rep <> a").groupBy("a", F.col("rep").alias("b"), "n_a", "n").count()
-    close = shared.where(f"count > 1 and 100 * least(n, n_a) >= {percent} * greatest(n, n_a)").select("a", "b")
-    close = materialise(close, "ngram-close")
-    ends = close.select(F.col("a").alias("id")).unionByName(close.select(F.col("b").alias("id"))).distinct()
-    tokens = materialise(_tokens(docs, ends, k), "ngram-tokens")
-    enough = f"100 * both >= {percent} * (n_a + n_b - both)"
-    first = materialise(_overlaps(close, tokens).where(enough), "ngram-leaders")
+    reach = lambda o: (100 + percent) * F.col(o) >= percent * (F.col("n_a") + F.col("n_b"))
+    minima = nodes.select("rep", F.posexplode("minima").alias("seed", "least"))
+    leaders = minima.groupBy("seed", "least").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    close = minima.join(leaders, ["seed", "least"]).where("rep <> a").groupBy("a", F.col("rep").alias("b")).count().where("count > 1")
+    close = materialise(_bounded(close, nodes).where(reach("most")).select("a", "b"), "ngram-close")
+    first = materialise(_overlaps(close, docs, k).where(reach("both")), "ngram-leaders")
     stars = first.groupBy(F.col("b").alias("rep")).agg(F.max(F.struct("both", F.negative("a").alias("minus"), "n_a")).alias("best"))
     stars = stars.select(
         "rep", F.negative("best.minus").alias("leader"), F.col("best.both").alias("held"), F.col("best.n_a").alias("n_leader")
@@ -285,28 +309,29 @@ def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: st
     pairs = materialise(_candidates(lists.select("gram", "rep", "n", "pos", "comp"), percent), "ngram-pairs")
 
     # bounds from the leaders' overlap: what two members share beyond it lies in their own differences
-    of_a = stars.select(F.col("rep").alias("a"), F.col("leader").alias("lead_a"), F.col("held").alias("held_a"), F.col("n_leader").alias("n_la"))
-    of_b = stars.select(F.col("rep").alias("b"), F.col("leader").alias("lead_b"), F.col("held").alias("held_b"), F.col("n_leader").alias("n_lb"))
-    size_a, size_b = (nodes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
-    full = pairs.join(size_a, "a").join(size_b, "b").join(of_a, "a", "left").join(of_b, "b", "left")
-    full = full.select(
+    possible = _bounded(pairs, nodes).where(reach("most"))
+    of_a, of_b = (
+        stars.select(F.col("rep").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("leader", "held", "n_leader")]) for c in "ab"
+    )
+    zero = F.lit(0)
+    known_by = possible.join(of_a, "a", "left").join(of_b, "b", "left").select(
+        "a", "b", "n_a", "n_b", "most",
+        *[F.coalesce(f"leader_{c}", c).alias(f"lead_{c}") for c in "ab"],
+        *[F.coalesce(F.col(f"n_{c}") - F.col(f"held_{c}"), zero).alias(f"more_{c}") for c in "ab"],
+        *[F.coalesce(F.col(f"n_leader_{c}") - F.col(f"held_{c}"), zero).alias(f"less_{c}") for c in "ab"],
+    )
+    known_by = materialise(known_by, "ngram-possible")
+    leading = known_by.select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b")).distinct()
+    lead = _overlaps(leading, docs, k).select(F.col("a").alias("lead_a"), F.col("b").alias("lead_b"), F.col("both").alias("common")).distinct()
+    derived = known_by.join(lead, ["lead_a", "lead_b"]).select(
         "a", "b", "n_a", "n_b",
-        F.coalesce("lead_a", "a").alias("lead_a"), F.coalesce("lead_b", "b").alias("lead_b"),
-        F.coalesce(F.col("n_a") - F.col("held_a"), F.lit(0)).alias("more_a"), F.coalesce(F.col("n_b") - F.col("held_b"), F.lit(0)).alias("more_b"),
-        F.coalesce(F.col("n_la") - F.col("held_a"), F.lit(0)).alias("less_a"), F.coalesce(F.col("n_lb") - F.col("held_b"), F.lit(0)).alias("less_b"),
+        F.least(F.col("common") + F.col("more_a") + F.col("more_b"), "most").alias("above"),
+        (F.col("common") - F.col("less_a") - F.col("less_b")).alias("below"),
     )
-    full = materialise(full, "ngram-full")
-    leading = full.select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b")).distinct()
-    ends = full.select(F.explode(F.array("a", "b", "lead_a", "lead_b")).alias("id")).distinct().join(tokens.select("id"), "id", "left_anti")
-    tokens = tokens.unionByName(materialise(_tokens(docs, ends, k), "ngram-more"))
-    lead = _overlaps(leading, tokens).select(F.col("a").alias("lead_a"), F.col("b").alias("lead_b"), F.col("both").alias("common"))
-    bounded = materialise(full.join(lead, ["lead_a", "lead_b"]), "ngram-bounded")
-    above = F.least(F.col("common") + F.col("more_a") + F.col("more_b"), "n_a", "n_b")
-    below = F.col("common") - F.col("less_a") - F.col("less_b")
-    reach = lambda o: (100 + percent) * o >= percent * (F.col("n_a") + F.col("n_b"))
-    sure = bounded.where(reach(below)).select("a", "b")
-    open_ = bounded.where(~reach(below) & reach(above)).select("a", "b")
-    later = _overlaps(open_, tokens).where(enough).select("a", "b")
+    derived = materialise(derived, "ngram-derived")
+    sure = derived.where(reach("below")).select("a", "b")
+    later = _overlaps(derived.where(~reach("below") & reach("above")).select("a", "b").distinct(), docs, k)
+    later = later.where(reach("both")).select("a", "b")
     links = first.select("a", "b").unionByName(sure).unionByName(later)
     final = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = sets.join(final, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
