@@ -38,3 +38,10 @@ def rfm_segment(score: Column) -> Column:
 
 def short_label(text: Column, width: int = 30) -> Column:
     return F.when(F.length(text) > width, F.concat(F.substring(text, 1, width), F.lit("..."))).otherwise(text)
+
+
+def sentiment_band(score: Column) -> Column:
+    """Four bands of a mean score; no score falls in the last."""
+    steps = [(0.5, "Very Positive"), (0.05, "Positive"), (-0.05, "Neutral")]
+    reached = [F.when(score >= least, name) for least, name in steps]
+    return F.coalesce(*reached, F.lit("Negative"))

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketwise.functions.numeric import round_even
+from basketwise.functions.numeric import exact_mean, round_even
 from basketwise.operators.rfm import METRICS, rfm_scaled
 from basketwise.session import materialise
 
@@ -70,7 +70,7 @@ def kmeans_elbow(
 
 
 def cluster_profile(clustered: DataFrame) -> DataFrame:
-    return clustered.groupBy("Cluster").agg(*[round_even(F.avg(m), 2).alias(m) for m in METRICS])
+    return clustered.groupBy("Cluster").agg(*[round_even(exact_mean(F.col(m)), 2).alias(m) for m in METRICS])
 
 
 def label_clusters(profile: DataFrame) -> DataFrame:
@@ -96,6 +96,11 @@ def label_clusters(profile: DataFrame) -> DataFrame:
 def kmeans_segments(segments: DataFrame, **options) -> DataFrame:
     """RFM segments with cluster number and cluster label."""
     clustered = segments.join(kmeans_clusters(segments.select("CustomerID", *METRICS), **options), "CustomerID")
+    return with_labels(clustered).select(*segments.columns, "Cluster", "Cluster_Label")
+
+
+def with_labels(clustered: DataFrame) -> DataFrame:
+    """Customers with the label of their cluster."""
     # one row per cluster
     labels = F.broadcast(label_clusters(cluster_profile(clustered)).select("Cluster", "Cluster_Label"))
-    return clustered.join(labels, "Cluster").select(*segments.columns, "Cluster", "Cluster_Label")
+    return clustered.join(labels, "Cluster")

@@ -1,8 +1,8 @@
 """Cox proportional hazards with Efron ties and a ridge penalty.
 
 Every Newton step is one aggregation over all customers. It leaves one row per distinct duration;
-durations are whole days, so this table is bounded by the days the data spans. Only that table
-reaches the driver, which solves a system of the size of the covariates.
+durations are whole days, so the running sums over this table are bounded by the days the data spans.
+One row reaches the driver: the likelihood, its gradient and its Hessian.
 """
 
 from __future__ import annotations
@@ -13,14 +13,12 @@ from itertools import combinations_with_replacement
 from statistics import NormalDist
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketwise.session import materialise
 
 COVARIATES = ["total_orders", "total_spend", "avg_order_value", "unique_products", "purchase_frequency"]
-MAX_TIMES = 100_000
 TIE_CHUNK = 10_000
 
 
@@ -90,38 +88,39 @@ def _per_time(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
     )
 
 
-def _derivatives(rows: DataFrame, p: int, beta: np.ndarray):
-    """Partial log-likelihood with gradient, Hessian and the baseline hazard steps."""
-    spark = rows.sparkSession
-    table = _per_time(rows, p, beta).toArrow().to_pandas().sort_values("duration", ascending=False, ignore_index=True)
-    # sums over all who leave at or after a time
-    hazard = table["h"].to_numpy().cumsum()
-    first = np.stack([table[f"h_{j}"].to_numpy().cumsum() for j in range(p)], axis=1)
-
-    def square(prefix: str) -> np.ndarray:
-        out = np.empty((len(table), p, p))
-        for i, j in combinations_with_replacement(range(p), 2):
-            out[:, i, j] = out[:, j, i] = table[f"{prefix}_{i}_{j}"].to_numpy()
-        return out
-
-    second = square("h").cumsum(axis=0)
-    has_event = table["d"].to_numpy() > 0
-    times = table["duration"].to_numpy()[has_event]
-    d, tied = table["d"].to_numpy()[has_event], table["eh"].to_numpy()[has_event]
-    risk = spark.createDataFrame(pa.table({"duration": times, "d": d, "R": hazard[has_event], "T": tied}))
-    sums = _tie_sums(risk).toArrow().to_pandas().set_index("duration").loc[times]
-    i1, f1, i2, f2, g2 = (sums[c].to_numpy() for c in ("i1", "f1", "i2", "f2", "g2"))
-    s1, t1 = first[has_event], np.stack([table[f"eh_{j}"].to_numpy()[has_event] for j in range(p)], axis=1)
-    s2, t2 = second[has_event], square("eh")[has_event]
-    likelihood = table["e_eta"].sum() - sums["log_left"].sum()
-    gradient = np.array([table[f"e_{j}"].sum() for j in range(p)]) - (s1.T @ i1 - t1.T @ f1)
-    cross = np.einsum("ti,tj,t->ij", s1, t1, f2)
-    hessian = -(
-        np.einsum("tij,t->ij", s2, i1) - np.einsum("tij,t->ij", t2, f1)
-        - np.einsum("ti,tj,t->ij", s1, s1, i2) + cross + cross.T - np.einsum("ti,tj,t->ij", t1, t1, g2)
-    )
-    steps = [(int(t), float(n / r)) for t, n, r in zip(times, d, hazard[has_event], strict=True)]
-    return likelihood, gradient, hessian, steps
+def _risk_table(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
+    """One row per duration: its own moments, and as R, s_j and s_i_j those of all at risk then."""
+    later = "OVER (PARTITION BY 0 ORDER BY duration DESC)"  # one row per distinct duration
+    sums = [f"sum(h) {later} AS R", "eh AS T"]
+    sums += [f"sum(h_{j}) {later} AS s_{j}" for j in range(p)]
+    sums += [f"sum(h_{i}_{j}) {later} AS s_{i}_{j}" for i, j in combinations_with_replacement(range(p), 2)]
+    return _per_time(rows, p, beta).selectExpr("*", *sums)
+
+
+def derivatives_row(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
+    """One row with the partial log-likelihood at ``beta``, its gradient g_j and its Hessian h_i_j (i <= j).
+
+    ``rows``: duration, churned, x0 to x{p-1}.
+    """
+    table = _risk_table(rows, p, beta)
+    joined = table.join(_tie_sums(table.where("d > 0")), "duration", "left")
+    sums = ["sum(e_eta) - coalesce(sum(log_left), 0D) AS likelihood"]
+    for j in range(p):
+        sums.append(f"sum(e_{j}) - coalesce(sum(s_{j} * i1 - eh_{j} * f1), 0D) AS g_{j}")
+    for i, j in combinations_with_replacement(range(p), 2):
+        square = (
+            f"s_{i}_{j} * i1 - eh_{i}_{j} * f1 - s_{i} * s_{j} * i2 + (s_{i} * eh_{j} + eh_{i} * s_{j}) * f2 - eh_{i} * eh_{j} * g2"
+        )
+        sums.append(f"-coalesce(sum({square}), 0D) AS h_{i}_{j}")
+    return joined.selectExpr(*sums)
+
+
+def _derivatives(rows: DataFrame, p: int, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    row = derivatives_row(rows, p, beta).first()
+    hessian = np.empty((p, p))
+    for i, j in combinations_with_replacement(range(p), 2):
+        hessian[i, j] = hessian[j, i] = row[f"h_{i}_{j}"]
+    return row["likelihood"], np.array([row[f"g_{j}"] for j in range(p)]), hessian
 
 
 def fit_cox(
@@ -138,16 +137,12 @@ def fit_cox(
     with ``penalty_scale='per_row'`` and as it is with ``'total'``.
     """
     names, p = list(covariates), len(covariates)
-    spark = features.sparkSession
     source = materialise(features.select("duration", "churned", *names), "cox")
     row = source.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct("duration").alias("times"),
         *[F.avg(c).alias(f"m_{c}") for c in names],
         *[F.stddev_samp(c).alias(f"s_{c}") for c in names],
     ).first()
-    if row["times"] > MAX_TIMES:
-        raise ValueError(f"{row['times']} distinct durations; group them to whole days first")
     means = np.array([row[f"m_{c}"] for c in names])
     spreads = np.array([row[f"s_{c}"] or 1.0 for c in names])
     rows = source.select(
@@ -158,13 +153,13 @@ def fit_cox(
     ridge = penalty * (row["n"] if penalty_scale == "per_row" else 1)
 
     def penalised(beta: np.ndarray):
-        value, gradient, hessian, steps = _derivatives(rows, p, beta)
-        return value - ridge / 2 * beta @ beta, gradient - ridge * beta, hessian - ridge * np.eye(p), steps, value
+        value, gradient, hessian = _derivatives(rows, p, beta)
+        return value - ridge / 2 * beta @ beta, gradient - ridge * beta, hessian - ridge * np.eye(p), value
 
     rows = rows.persist()
     try:
         beta = np.zeros(p)
-        value, gradient, hessian, steps, plain = penalised(beta)
+        value, gradient, hessian, plain = penalised(beta)
         done = 0
         for done in range(1, max_iter + 1):
             move = np.linalg.solve(-hessian, gradient)
@@ -176,13 +171,14 @@ def fit_cox(
                 scale /= 2
             beta = beta + scale * move
             gain = abs(trial[0] - value)
-            value, gradient, hessian, steps, plain = trial
+            value, gradient, hessian, plain = trial
             if np.abs(scale * move).max() < tolerance or gain < tolerance * 1e-3 * abs(value):
                 break
+        steps = _risk_table(rows, p, beta).where("d > 0")
+        baseline = materialise(steps.select(F.col("duration").cast("long").alias("time"), (F.col("d") / F.col("R")).alias("step")), "baseline")
     finally:
         rows.unpersist()
     errors = np.sqrt(np.diag(np.linalg.inv(-hessian))) / spreads
-    baseline = spark.createDataFrame(steps, "time long, step double")
     return CoxModel(names, beta / spreads, errors, means, baseline, float(plain), done)
 
 

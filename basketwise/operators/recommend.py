@@ -138,12 +138,9 @@ def catalogue_coverage(recommendations: DataFrame, matrix: DataFrame) -> DataFra
     )
 
 
-def mean_list_score(recommendations: DataFrame, customers: DataFrame) -> DataFrame:
-    lists = (
-        recommendations.join(customers, "CustomerID", "left_semi")
-        .groupBy("CustomerID")
-        .agg(exact_mean(F.col("Score")).alias("mean"))
-    )
+def mean_list_score(recommendations: DataFrame) -> DataFrame:
+    """Mean over customers of the mean score of their lists."""
+    lists = recommendations.groupBy("CustomerID").agg(exact_mean(F.col("Score")).alias("mean"))
     return lists.agg(exact_mean(F.col("mean"), 9).alias("avg_score"))
 
 
@@ -165,6 +162,5 @@ def top_products(recommendations: DataFrame, descriptions: DataFrame, n: int = 1
         .limit(n)
     )
     text = F.coalesce(F.col("Description"), F.col("StockCode"))
-    return best.join(descriptions, "StockCode", "left").select(
-        "StockCode", "total_score", short_label(text).alias("label")
-    )
+    named = best.join(descriptions, "StockCode", "left").select("StockCode", "total_score", short_label(text).alias("label"))
+    return named.orderBy(F.desc("total_score"), "StockCode")

@@ -159,11 +159,15 @@ def score_texts(
 
 
 def reviews_with_sentiment(
-    reviews: DataFrame, lexicon: DataFrame, boosters: DataFrame, negations: DataFrame
+    reviews: DataFrame,
+    lexicon: DataFrame,
+    boosters: DataFrame,
+    negations: DataFrame,
+    keys: Sequence[str] = ("UserId", "ProductId"),
 ) -> DataFrame:
-    """Reviews with a score for text and summary, the class of the text, and the month."""
+    """Reviews with a score for text and summary, the class of the text, and the month; ``keys`` identify a review."""
     texts = {"Text": "vader_compound", "Summary": "summary_sentiment"}
-    return score_texts(reviews, ["UserId", "ProductId"], texts, lexicon, boosters, negations).withColumns(
+    return score_texts(reviews, keys, texts, lexicon, boosters, negations).withColumns(
         {
             "vader_sentiment": sentiment_class(F.col("vader_compound")),
             "YearMonth": F.date_format("ReviewDate", "yyyy-MM"),
@@ -258,17 +262,11 @@ def user_sentiment(reviews: DataFrame) -> DataFrame:
     )
 
 
-def word_frequencies(
-    reviews: DataFrame, label: str, n: int = 30, first: int | None = 5000, ordinal: str = "ordinal"
-) -> DataFrame:
-    """Most frequent words in the first reviews of one class; ``first=None`` takes all reviews."""
-    chosen = reviews.where(F.col("vader_sentiment") == label)
-    if first is not None:
-        # the texts stay where they are: only the ordinals are sorted, to find the last one that counts
-        last = chosen.select(ordinal).orderBy(ordinal).limit(first).agg(F.max(ordinal).alias("last")).scalar()
-        chosen = chosen.where(F.col(ordinal) <= last)
+def word_frequencies(reviews: DataFrame, label: str, n: int = 30) -> DataFrame:
+    """Most frequent words in all reviews of one class."""
     return (
-        chosen.select(F.explode(plain_words(F.col("Text"))).alias("word"))
+        reviews.where(F.col("vader_sentiment") == label)
+        .select(F.explode(plain_words(F.col("Text"))).alias("word"))
         .groupBy("word")
         .count()
         .orderBy(F.desc("count"), "word")

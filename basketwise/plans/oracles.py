@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import re
 
-from basketwise.functions.text import PUNCTUATION, STOPWORDS
-from basketwise.operators import sentiment as rules
-from basketwise.operators.master import DASHBOARD_SQL
+from itertools import combinations_with_replacement
+
 from basketwise.sources.lexicon import fixture_lists
 
 
+# Fixed values, written out once more so that the two sides can disagree.
+STOPWORDS = (
+    "the a an and or but in on at to for of with is it this that was are be as have has had i my we you your "
+    "they their not no so just very also one use used product food item order buy bought get got"
+).split()
+PUNCTUATION = r"!-/:-@\[-`{-~"
+
+
 def _even(value: str, digits: int) -> str:
     return f"(round_even(({value}) * 1e{digits}, 0) / 1e{digits})"
 
@@ -53,11 +60,11 @@ def _upper(word: str) -> str:
 
 
 def _damped(j: int) -> str:
-    louder = f"CASE WHEN {_upper(f'w{j}')} AND mixed THEN {rules.CAPITALS}::DOUBLE ELSE 0 END"
+    louder = f"CASE WHEN {_upper(f'w{j}')} AND mixed THEN 0.733::DOUBLE ELSE 0 END"
     return (
         f"v + CASE WHEN w{j} IS NOT NULL AND l{j} IS NULL AND b{j} IS NOT NULL THEN "
         f"((CASE WHEN v < 0 THEN -b{j} ELSE b{j} END) + (CASE WHEN v > 0 THEN {louder} ELSE -({louder}) END))"
-        f" * {rules.DAMPING[j]}::DOUBLE ELSE 0 END"
+        f" * { {1: 1.0, 2: 0.95, 3: 0.9}[j] }::DOUBLE ELSE 0 END"
     )
 
 
@@ -71,7 +78,7 @@ def _turned(j: int) -> str:
     }[j]
     return (
         f"v * CASE WHEN w{j} IS NULL OR l{j} IS NOT NULL THEN 1.0 {special}"
-        f"WHEN n{j} IS NOT NULL OR contains(lower(w{j}), 'n''t') THEN {rules.NEGATED} ELSE 1.0 END::DOUBLE"
+        f"WHEN n{j} IS NOT NULL OR contains(lower(w{j}), 'n''t') THEN -0.74 ELSE 1.0 END::DOUBLE"
     )
 
 
@@ -151,11 +158,62 @@ def _word_counts(label: str, n: int) -> str:
     return f"""
         SELECT word, COUNT(*) AS count
         FROM (SELECT unnest(string_split_regex(regexp_replace(lower(Text), '[^a-z\\s]', '', 'g'), '\\s+')) AS word
-              FROM (SELECT Text FROM scored_reviews WHERE vader_sentiment = '{label}' ORDER BY ordinal LIMIT 5000))
+              FROM (SELECT Text FROM scored_reviews WHERE vader_sentiment = '{label}'  ))
         WHERE length(word) > 3 AND word NOT IN ({stop})
         GROUP BY word ORDER BY count DESC, word LIMIT {n}"""
 
 
+def _summary(source: str, label: str) -> str:
+    return f"""
+        SELECT *, {_even("churn_rate * 100", 1)} AS churn_rate_pct,
+               {_even("total_revenue / CAST(SUM(CAST(total_revenue AS DECIMAL(24,4))) OVER () AS DOUBLE) * 100", 1)} AS revenue_share_pct
+        FROM (SELECT {label}, COUNT(*) AS customer_count, {_even(_mean("Recency"), 2)} AS avg_recency,
+                     {_even(_mean("Frequency"), 2)} AS avg_frequency, {_even(_mean("Monetary"), 2)} AS avg_monetary,
+                     {_even(_sum("Monetary"), 2)} AS total_revenue, {_even(_mean("churned"), 2)} AS churn_rate,
+                     {_even(_mean("duration"), 2)} AS avg_tenure_days, {_even(_mean("avg_order_value", 9), 2)} AS avg_order_value
+              FROM {source} GROUP BY {label})"""
+
+
+def _padded_lists(n: int) -> str:
+    return f"""
+        SELECT CustomerID, CAST(rank AS INTEGER) AS rank, StockCode, {_even("points / 1e9", 3)} AS Score, Description
+        FROM (SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY points DESC, StockCode) AS rank
+              FROM (SELECT c.CustomerID, p.StockCode, coalesce(s.points, 0) AS points
+                    FROM (SELECT DISTINCT CustomerID FROM purchase_matrix) c CROSS JOIN (SELECT DISTINCT StockCode FROM purchase_matrix) p
+                    LEFT JOIN (SELECT t.CustomerID, m.StockCode,
+                                      SUM(CAST(round_even(t.similarity * 1e9, 0) AS BIGINT) * m.PurchaseCount)::BIGINT AS points
+                               FROM top_neighbours t JOIN purchase_matrix m ON m.CustomerID = t.neighbour WHERE t.rank = 1
+                               GROUP BY 1, 2) s USING (CustomerID, StockCode)
+                    WHERE NOT EXISTS (SELECT 1 FROM purchase_matrix o WHERE o.CustomerID = c.CustomerID AND o.StockCode = p.StockCode)))
+        LEFT JOIN descriptions USING (StockCode)
+        WHERE rank <= {n}"""
+
+
+def _cox_derivatives(names: list[str], beta: list[float]) -> str:
+    """Efron's partial likelihood: each tied event is a row with the moments of those at risk, less its share of the tied."""
+    p = range(len(names))
+    pairs = list(combinations_with_replacement(p, 2))
+    moments = ["exp(eta)", *[f"exp(eta) * x{j}" for j in p], *[f"exp(eta) * x{i} * x{j}" for i, j in pairs]]
+    own = ", ".join(f"SUM({m}) AS m{n}, SUM(e * {m}) AS t{n}" for n, m in enumerate(moments))
+    run = ", ".join(f"SUM(m{n}) OVER (ORDER BY duration DESC) AS r{n}" for n in range(len(moments)))
+    left = ", ".join(f"r{n} - l / d * t{n} AS a{n}" for n in range(len(moments)))
+    events = ", ".join(["SUM(e * eta) AS ee", *[f"SUM(e * x{j}) AS e{j}" for j in p]])
+    of_pair = {pair: 1 + len(names) + n for n, pair in enumerate(pairs)}
+    out = [f"{_even('(SELECT ee FROM events) - SUM(ln(a0))', 3)} AS likelihood"]
+    out += [_even(f"(SELECT e{j} FROM events) - SUM(a{1 + j} / a0)", 3) + f" AS g_{j}" for j in p]
+    out += [_even(f"-SUM(a{of_pair[i, j]} / a0 - a{1 + i} / a0 * (a{1 + j} / a0))", 3) + f" AS h_{i}_{j}" for i, j in pairs]
+    eta = " + ".join(f"{b}::DOUBLE * x{j}" for j, b in enumerate(beta))
+    return f"""
+        SELECT * FROM (WITH x AS (SELECT duration, churned::DOUBLE AS e, {", ".join(f"ln(1 + {c}::DOUBLE) AS x{j}" for j, c in enumerate(names))} FROM features),
+        y AS (SELECT *, {eta} AS eta FROM x),
+        events AS (SELECT {events} FROM y),
+        per_day AS (SELECT duration, SUM(e) AS d, {own} FROM y GROUP BY 1),
+        at_risk AS (SELECT *, {run} FROM per_day),
+        each AS (SELECT *, unnest(range(0, d::BIGINT)) AS l FROM at_risk WHERE d > 0),
+        remaining AS (SELECT {left} FROM each)
+        SELECT {", ".join(out)} FROM remaining)"""
+
+
 def _metric_rows(run: str, metrics: dict[str, str], parameters: dict[str, object]) -> str:
     rows = [
         f"SELECT '{run}' AS run, 'metric' AS kind, '{key}' AS key, CAST(({sql}) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text"
@@ -247,6 +305,17 @@ STEPS = {
         SELECT *, CASE WHEN RFM_Score >= 13 THEN 'Champions' WHEN RFM_Score >= 10 THEN 'Loyal Customers'
                        WHEN RFM_Score >= 7 THEN 'At Risk' ELSE 'Lost' END AS RFM_Segment
         FROM scores""",
+    "clustered": """
+        SELECT CustomerID, Recency, Frequency, Monetary, CAST(CASE RFM_Segment WHEN 'Champions' THEN 0 WHEN 'Loyal Customers' THEN 1
+                   WHEN 'At Risk' THEN 2 ELSE 3 END AS INTEGER) AS Cluster FROM segments""",
+    "profile": f"""
+        SELECT Cluster, {_even(_mean("Recency"), 2)} AS Recency, {_even(_mean("Frequency"), 2)} AS Frequency,
+               {_even(_mean("Monetary"), 2)} AS Monetary FROM clustered GROUP BY 1""",
+    "labelled_profile": """
+        SELECT *, CASE WHEN Recency < (SELECT median(Recency) FROM profile) THEN
+                            CASE WHEN Monetary > (SELECT median(Monetary) FROM profile) THEN 'Champions' ELSE 'Loyal Customers' END
+                       WHEN Monetary > (SELECT median(Monetary) FROM profile) THEN 'At Risk' ELSE 'Lost Customers' END AS Cluster_Label
+        FROM profile""",
     "favourites": """
         SELECT "Customer ID", Country AS favourite_country
         FROM (SELECT *, row_number() OVER (PARTITION BY "Customer ID" ORDER BY times DESC, Country) AS n
@@ -291,17 +360,16 @@ STEPS = {
     "top_neighbours": _neighbours(10),
     "recommendations": _recommended("top_neighbours", 5),
     "long_lists": _recommended("top_neighbours", 10),
-    "sample": "SELECT DISTINCT CustomerID FROM purchase_matrix ORDER BY CustomerID LIMIT 100",
-    "fifty": "SELECT CustomerID FROM sample ORDER BY CustomerID LIMIT 50",
     "coverage": """
         SELECT COUNT(DISTINCT StockCode) AS recommended_products, (SELECT COUNT(DISTINCT StockCode) FROM purchase_matrix) AS products,
                COUNT(DISTINCT StockCode) / (SELECT COUNT(DISTINCT StockCode) FROM purchase_matrix)::DOUBLE * 100 AS coverage_pct
-        FROM long_lists WHERE CustomerID IN (SELECT CustomerID FROM sample)""",
+        FROM long_lists""",
     "evaluation": f"""
-        SELECT (SELECT {_even("SUM(similarity) / (5 * COUNT(DISTINCT CustomerID))", 9)} FROM top_neighbours
-                WHERE rank <= 5 AND CustomerID IN (SELECT CustomerID FROM fifty)) AS avg_similarity,
+        SELECT (SELECT {_even("SUM(coalesce(similarity, 0)) / (5 * COUNT(DISTINCT CustomerID))", 9)}
+                FROM (SELECT DISTINCT CustomerID FROM purchase_matrix) LEFT JOIN (SELECT * FROM top_neighbours WHERE rank <= 5)
+                USING (CustomerID)) AS avg_similarity,
                (SELECT {_even(_mean("mean", 9), 9)} FROM (SELECT CustomerID, {_mean("Score")} AS mean FROM long_lists
-                WHERE CustomerID IN (SELECT CustomerID FROM fifty) GROUP BY 1)) AS avg_score""",
+                GROUP BY 1)) AS avg_score""",
     "rec_summary": f"""
         SELECT CustomerID, {_mean("Score")} AS avg_rec_score, arg_min(Description, rank) AS top_rec_product
         FROM recommendations GROUP BY CustomerID""",
@@ -324,9 +392,9 @@ STEPS = {
         FROM texts""",
     "marked": f"""
         SELECT ordinal, field, words, loud > 0 AND loud < len(words) AS mixed, but_at,
-               LEAST(marks, {rules.MOST_EXCLAMATIONS}) * {rules.EXCLAMATION}::DOUBLE
-               + CASE WHEN doubts <= 1 THEN 0 WHEN doubts <= 3 THEN doubts * {rules.QUESTION}::DOUBLE
-                      ELSE {rules.MANY_QUESTIONS}::DOUBLE END AS emphasis
+               LEAST(marks, 4) * 0.292::DOUBLE
+               + CASE WHEN doubts <= 1 THEN 0 WHEN doubts <= 3 THEN doubts * 0.18::DOUBLE
+                      ELSE 0.96::DOUBLE END AS emphasis
         FROM (SELECT *, len(list_filter(words, lambda w: {_upper("w")})) AS loud,
                      coalesce(list_position(list_transform(words, lambda w: lower(w)), 'but'), 0) AS but_at,
                      length(t) - length(replace(t, '!', '')) AS marks, length(t) - length(replace(t, '?', '')) AS doubts
@@ -337,7 +405,7 @@ STEPS = {
               FROM marked)
         WINDOW w AS (PARTITION BY ordinal, field ORDER BY spot)""",
     "hits": f"""
-        SELECT o.*, x.valence + CASE WHEN {_upper("w0")} AND mixed THEN sign(x.valence) * {rules.CAPITALS}::DOUBLE ELSE 0 END AS v,
+        SELECT o.*, x.valence + CASE WHEN {_upper("w0")} AND mixed THEN sign(x.valence) * 0.733::DOUBLE ELSE 0 END AS v,
                l1.valence AS l1, l2.valence AS l2, l3.valence AS l3, b1.weight AS b1, b2.weight AS b2, b3.weight AS b3,
                n1.token AS n1, n2.token AS n2, n3.token AS n3
         FROM occurrences o JOIN lexicon x ON x.token = lower(w0) LEFT JOIN boosters b0 ON b0.token = lower(w0)
@@ -356,12 +424,12 @@ STEPS = {
     "valences": f"""
         SELECT ordinal, field, emphasis,
                v * CASE WHEN lower(w1) = 'least' AND l1 IS NULL AND NOT coalesce(lower(w2) IN ('at', 'very'), FALSE)
-                        THEN {rules.NEGATED} ELSE 1.0 END::DOUBLE
-                 * CASE WHEN but_at > 0 AND spot < but_at THEN {rules.BEFORE_BUT}
-                        WHEN but_at > 0 AND spot > but_at THEN {rules.AFTER_BUT} ELSE 1.0 END::DOUBLE AS v
+                        THEN -0.74 ELSE 1.0 END::DOUBLE
+                 * CASE WHEN but_at > 0 AND spot < but_at THEN 0.5
+                        WHEN but_at > 0 AND spot > but_at THEN 1.5 ELSE 1.0 END::DOUBLE AS v
         FROM turn3""",
     "compounds": f"""
-        SELECT ordinal, field, {_even(f"pushed / sqrt(pushed * pushed + {rules.NORMALISATION}::DOUBLE)", 4)} AS compound
+        SELECT ordinal, field, {_even(f"pushed / sqrt(pushed * pushed + 15.0::DOUBLE)", 4)} AS compound
         FROM (SELECT ordinal, field, CASE WHEN total > 0 THEN total + emphasis WHEN total < 0 THEN total - emphasis ELSE 0 END AS pushed
               FROM (SELECT ordinal, field, SUM(CAST(round_even(v * 1e9, 0) AS BIGINT))::DOUBLE / 1e9 AS total,
                            MAX(emphasis) AS emphasis FROM valences GROUP BY ALL))""",
@@ -465,16 +533,15 @@ _BODIES = {
         for m in ("Recency", "Frequency", "Monetary")
     )
     + " FROM rfm",
-    "label_clusters": f"""
-        WITH profile AS (
-            SELECT CAST(CASE RFM_Segment WHEN 'Champions' THEN 0 WHEN 'Loyal Customers' THEN 1 WHEN 'At Risk' THEN 2 ELSE 3 END
-                        AS INTEGER) AS Cluster, {_even(_mean("Recency"), 2)} AS Recency,
-                   {_even(_mean("Frequency"), 2)} AS Frequency, {_even(_mean("Monetary"), 2)} AS Monetary
-            FROM segments GROUP BY 1)
-        SELECT *, CASE WHEN Recency < (SELECT median(Recency) FROM profile) THEN
-                            CASE WHEN Monetary > (SELECT median(Monetary) FROM profile) THEN 'Champions' ELSE 'Loyal Customers' END
-                       WHEN Monetary > (SELECT median(Monetary) FROM profile) THEN 'At Risk' ELSE 'Lost Customers' END AS Cluster_Label
-        FROM profile""",
+    "label_clusters": "SELECT * FROM labelled_profile",
+    "segment_cluster_profile": "SELECT * FROM profile",
+    "segment_cluster_labels": "SELECT CustomerID, Cluster, Cluster_Label FROM clustered JOIN labelled_profile USING (Cluster)",
+    "segment_cluster_summary": _summary(
+        "(SELECT f.*, Cluster_Label FROM facts f JOIN clustered USING (CustomerID) JOIN labelled_profile USING (Cluster))", "Cluster_Label"
+    ),
+    "cox_derivatives": _cox_derivatives(
+        ["total_orders", "total_spend", "avg_order_value", "unique_products", "purchase_frequency"], [0.05, -0.1, 0.02, 0.1, -0.2]
+    ),
     "survival_features": "SELECT * FROM features",
     "survival_segments": "SELECT * FROM survival",
     "churn_summary": f"""
@@ -510,6 +577,7 @@ _BODIES = {
     "recommendations": "SELECT * FROM recommendations",
     "recommend_for_customer": """
         SELECT * FROM long_lists WHERE CustomerID = (SELECT MIN(CustomerID) FROM purchase_matrix)""",
+    "recommendations_padded": _padded_lists(60),
     "rec_summary": "SELECT * FROM rec_summary",
     "top_recommended_products": f"""
         SELECT StockCode, total_score,
@@ -550,14 +618,7 @@ _BODIES = {
     "word_cloud_positive": _word_counts("Positive", 50),
     "word_cloud_negative": _word_counts("Negative", 50),
     "master_customers": "SELECT * FROM master_customers",
-    "segment_summary_rfm": f"""
-        SELECT *, {_even("churn_rate * 100", 1)} AS churn_rate_pct,
-               {_even("total_revenue / CAST(SUM(CAST(total_revenue AS DECIMAL(24,4))) OVER () AS DOUBLE) * 100", 1)} AS revenue_share_pct
-        FROM (SELECT RFM_Segment, COUNT(*) AS customer_count, {_even(_mean("Recency"), 2)} AS avg_recency,
-                     {_even(_mean("Frequency"), 2)} AS avg_frequency, {_even(_mean("Monetary"), 2)} AS avg_monetary,
-                     {_even(_sum("Monetary"), 2)} AS total_revenue, {_even(_mean("churned"), 2)} AS churn_rate,
-                     {_even(_mean("duration"), 2)} AS avg_tenure_days, {_even(_mean("avg_order_value", 9), 2)} AS avg_order_value
-              FROM facts GROUP BY RFM_Segment)""",
+    "segment_summary_rfm": _summary("facts", "RFM_Segment"),
     "business_metrics": f"""
         SELECT COUNT(*) AS customers, {_sum("Monetary")} AS total_revenue, {_mean("churned")} * 100 AS churn_rate_pct,
                {_mean("Monetary")} AS revenue_per_customer,
@@ -628,10 +689,21 @@ _BODIES = {
         },
         {"n_clusters": 4, "clustering_method": "kmeans", "rfm_scoring": "quintile"},
     ),
-    **{name: sql.replace("master_customers", "facts") for name, sql in DASHBOARD_SQL.items()},
+    **{
+        name: f"""
+        SELECT RFM_Segment, COUNT(*) AS Customers, {_even(_sum("Monetary"), digits)} AS Revenue,
+               {_even(_mean("churned") + " * 100", 1)} AS Churn_Pct FROM facts GROUP BY 1"""
+        for name, digits in (("dash_segment_revenue", 0), ("dash_segment_revenue_2dp", 2))
+    },
+    "dash_at_risk_count": "SELECT COUNT(*) AS At_Risk FROM at_risk_customers",
+    "dash_top_recommended": f"""
+        SELECT Description, Score FROM (SELECT Description, {_even(_sum("Score"), 0)} AS Score FROM recommendations GROUP BY 1)
+        ORDER BY 2 DESC, 1 LIMIT 10""",
+    "dash_sentiment_bands": """
+        SELECT list_filter([(0.5, 'Very Positive'), (0.05, 'Positive'), (-0.05, 'Neutral'), (-9, 'Negative')],
+                           lambda x: avg_sentiment >= x[1])[1][2] AS Band, COUNT(*) AS Products
+        FROM product_sentiment GROUP BY 1""",
     "dash_table_counts": _TABLE_COUNTS,
 }
 
 ORACLES = {name: _with_steps(body) for name, body in _BODIES.items()}
-# a query with its own WITH clause joins the list of steps
-ORACLES["label_clusters"] = re.sub(r"\)\n\s*WITH profile AS", "),\nprofile AS", ORACLES["label_clusters"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from basketwise.sources.schemas import RETAIL_RAW, REVIEWS_RAW
 
 Query = Callable[[Lifecycle], DataFrame]
 
-# exports: columns in order, and renamed ones
+# Columns of the exports in order, and renamed ones.
 MASTER_EXPORT = [
     "CustomerID", "Recency", "Frequency", "Monetary", "RFM_Score", "RFM_Segment", "Cluster_Label", "duration",
     "churned", "total_orders", "avg_order_value", "days_since_last", "segment",
@@ -80,13 +81,13 @@ def _published_tables(lc: Lifecycle) -> dict[str, DataFrame]:
         "survival_data": lc.survival,
         "at_risk_customers": lc.at_risk,
         "product_sentiment": lc.product_sentiment,
-        "recommendations": lc.stored_recommendations,
+        "recommendations": lc.recommendations,
     }
 
 
 def _publish(lc: Lifecycle) -> DataFrame:
-    path = scratch_path(lc.spark, "ecom")
-    database = "ecom_" + path.rsplit("-", 1)[1]
+    path = scratch_path(lc.spark, "lifecycle")
+    database = "lifecycle_" + path.rsplit("-", 1)[1]
     return writers.publish(_published_tables(lc), lc.spark, database, path)
 
 
@@ -116,6 +117,7 @@ def _survival_metrics(lc: Lifecycle) -> DataFrame:
         *[reached.select(c).scalar().alias(c) for c in reached.columns],
         *[case.select(c).scalar().alias(c) for c in case.columns],
     )
+    # fixed values here and below: keys and parameters of the run metrics
     return master.run_metrics(
         values,
         "survival",
@@ -156,9 +158,9 @@ def _mining_metrics_clusters(lc: Lifecycle) -> DataFrame:
 
 
 def _evaluation(lc: Lifecycle) -> DataFrame:
-    fifty = recommend.first_customers(lc.stored_matrix, 50)
-    near = similarity.mean_similarity(lc.sample_neighbours, fifty, lc.stored_matrix)
-    score = recommend.mean_list_score(lc.sample_recommendations, fifty)
+    customers = lc.stored_matrix.select("CustomerID").distinct()
+    near = similarity.mean_similarity(lc.stored_neighbours, customers, lc.stored_matrix)
+    score = recommend.mean_list_score(lc.long_lists)
     return near.select(
         round_even(F.col("avg_similarity"), 9).alias("avg_similarity"),
         round_even(score.scalar(), 9).alias("avg_score"),
@@ -166,7 +168,7 @@ def _evaluation(lc: Lifecycle) -> DataFrame:
 
 
 def _recommendation_metrics(lc: Lifecycle) -> DataFrame:
-    coverage = recommend.catalogue_coverage(lc.sample_recommendations, lc.stored_matrix)
+    coverage = recommend.catalogue_coverage(lc.long_lists, lc.stored_matrix)
     scores = _evaluation(lc)
     stats = similarity.matrix_stats(lc.stored_matrix)
     values = stats.select(
@@ -196,17 +198,31 @@ def _recommend_some(lc: Lifecycle) -> DataFrame:
     return recommend.recommend(lc.stored_matrix, lc.descriptions, n=10, customers=materialise(asked, "asked"))
 
 
-def _dash(name: str, table: str, df: Callable[[Lifecycle], DataFrame]) -> Query:
-    return lambda lc: master.dashboard(name, {table: df(lc)})
+def _cox_derivatives(lc: Lifecycle) -> DataFrame:
+    """Likelihood, gradient and Hessian at fixed coefficients of the unscaled covariates."""
+    p = len(cox.COVARIATES)
+    rows = lc.cox_rows.select("duration", "churned", *[F.col(c).alias(f"x{j}") for j, c in enumerate(cox.COVARIATES)])
+    row = cox.derivatives_row(rows, p, np.array([0.05, -0.1, 0.02, 0.1, -0.2]))
+    return _rounded(row, 3, *row.columns)
 
 
-def _label_profile(lc: Lifecycle) -> DataFrame:
-    """Cluster labels for the profile of the four RFM segments, taken as clusters."""
+def _padded(lc: Lifecycle) -> DataFrame:
+    """One neighbour and long lists, so that lists run short and are filled up in code order."""
+    return recommend.recommend(lc.stored_matrix, lc.descriptions, n=60, k=1)
+
+
+def _by_segment(lc: Lifecycle) -> DataFrame:
+    """The four RFM segments taken as clusters: a clustering that any engine repeats."""
     position = F.array_position(F.array(*map(F.lit, ["Champions", "Loyal Customers", "At Risk", "Lost"])), F.col("RFM_Segment"))
-    profile = lc.rfm_segments.groupBy((position - 1).cast("int").alias("Cluster")).agg(
-        *[round_even(exact_mean(F.col(m)), 2).alias(m) for m in rfm.METRICS]
-    )
-    return cluster.label_clusters(profile)
+    return materialise(lc.rfm_segments.withColumn("Cluster", (position - 1).cast("int")), "segment-clusters")
+
+
+def _label_profile(lc: Lifecycle) -> DataFrame:
+    return cluster.label_clusters(cluster.cluster_profile(_by_segment(lc)))
+
+
+def _labelled(lc: Lifecycle) -> DataFrame:
+    return cluster.with_labels(_by_segment(lc))
 
 
 QUERIES: dict[str, Query] = {
@@ -245,6 +261,11 @@ QUERIES: dict[str, Query] = {
     "kmeans_profile": lambda lc: cluster.cluster_profile(lc.kmeans_segments),
     "kmeans_elbow": lambda lc: cluster.kmeans_elbow(lc.stored_metrics),
     "label_clusters": _label_profile,
+    "segment_cluster_profile": lambda lc: cluster.cluster_profile(_by_segment(lc)),
+    "segment_cluster_labels": lambda lc: _labelled(lc).select("CustomerID", "Cluster", "Cluster_Label"),
+    "segment_cluster_summary": lambda lc: master.segment_summary(
+        master.master_customers(_labelled(lc), lc.survival, lc.rec_summary), "Cluster_Label"
+    ),
     # survival
     "survival_features": lambda lc: lc.features,
     "survival_segments": lambda lc: lc.survival,
@@ -259,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "kaplan_meier_by_segment": lambda lc: _rounded(lc.segment_curves, 9, "survival", "ci_lower", "ci_upper"),
     "median_survival_by_segment": lambda lc: survival.median_survival(lc.segment_curves, by=["segment"]),
     "cox_features": lambda lc: _rounded(lc.cox_rows, 9, *cox.COVARIATES),
+    "cox_derivatives": _cox_derivatives,
     "cox_coefficients": lambda lc: cox.cox_coefficients(lc.cox_rows, lc.cox_model),
     "cox_partial_effects": lambda lc: cox.cox_partial_effects(lc.cox_model),
     # recommendations
@@ -269,12 +291,13 @@ QUERIES: dict[str, Query] = {
     "top_neighbours_popular_split": lambda lc: similarity.nearest_customers(lc.matrix, max_pair_degree=24),
     "recommendations": lambda lc: lc.recommendations,
     "recommend_for_customer": _recommend_some,
+    "recommendations_padded": _padded,
     "rec_summary": lambda lc: lc.rec_summary,
     "top_recommended_products": lambda lc: recommend.top_products(lc.recommendations, lc.descriptions),
     "rec_score_histogram": lambda lc: _rounded(
-        histogram(lc.stored_recommendations, "Score", 50), 9, "bin_start", "bin_end", "mean_value"
+        histogram(lc.recommendations, "Score", 50), 9, "bin_start", "bin_end", "mean_value"
     ),
-    "catalog_coverage": lambda lc: recommend.catalogue_coverage(lc.sample_recommendations, lc.stored_matrix),
+    "catalog_coverage": lambda lc: recommend.catalogue_coverage(lc.long_lists, lc.stored_matrix),
     "reco_eval": _evaluation,
     # sentiment
     "sentiment_scores": lambda lc: lc.scored_reviews.drop("ordinal"),
@@ -323,11 +346,11 @@ QUERIES: dict[str, Query] = {
     "metrics_mining": lambda lc: _mining_metrics(lc, lc.facts),
     "metrics_mining_clusters": _mining_metrics_clusters,
     # dashboard
-    "dash_segment_revenue": _dash("dash_segment_revenue", "master_customers", lambda lc: lc.facts),
-    "dash_segment_revenue_2dp": _dash("dash_segment_revenue_2dp", "master_customers", lambda lc: lc.facts),
-    "dash_at_risk_count": _dash("dash_at_risk_count", "at_risk_customers", lambda lc: lc.at_risk),
-    "dash_top_recommended": _dash("dash_top_recommended", "recommendations", lambda lc: lc.recommendations),
-    "dash_sentiment_bands": _dash("dash_sentiment_bands", "product_sentiment", lambda lc: lc.product_sentiment),
+    "dash_segment_revenue": lambda lc: master.segment_revenue(lc.facts, 0),
+    "dash_segment_revenue_2dp": lambda lc: master.segment_revenue(lc.facts, 2),
+    "dash_at_risk_count": lambda lc: lc.at_risk.agg(F.count(F.lit(1)).alias("At_Risk")),
+    "dash_top_recommended": lambda lc: master.top_recommended(lc.recommendations),
+    "dash_sentiment_bands": lambda lc: master.sentiment_bands(lc.product_sentiment),
     "dash_table_counts": _table_counts,
 }
 

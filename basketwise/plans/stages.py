@@ -17,6 +17,9 @@ from basketwise.sources.lexicon import fixture_lists, lexicon_tables
 from basketwise.sources.schemas import RETAIL_RAW, REVIEWS_RAW
 
 
+CUSTOMER_COLUMNS = ["Customer ID", "Invoice", "StockCode", "Country", "InvoiceDate", "Quantity", "TotalSpend"]
+
+
 class Lifecycle:
     """Lazily built stages for one folder of tables."""
 
@@ -44,13 +47,19 @@ class Lifecycle:
     def retail(self) -> DataFrame:
         return cleaning.clean_retail(self.retail_raw)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """The clean lines' columns that customer stages need, as a table: the order lines are read once for all of them."""
+        return materialise(self.retail.select(*CUSTOMER_COLUMNS), "history")
+
     @cached_property
     def reviews(self) -> DataFrame:
-        return cleaning.clean_reviews(self.reviews_raw)
+        """Clean reviews as a table: the texts are read and deduplicated once."""
+        return materialise(cleaning.clean_reviews(self.reviews_raw), "reviews")
 
     @cached_property
     def rfm_metrics(self) -> DataFrame:
-        return rfm.rfm_metrics(self.retail)
+        return rfm.rfm_metrics(self.history)
 
     @cached_property
     def stored_metrics(self) -> DataFrame:
@@ -68,7 +77,7 @@ class Lifecycle:
 
     @cached_property
     def features(self) -> DataFrame:
-        return survival.survival_features(self.retail)
+        return survival.survival_features(self.history)
 
     @cached_property
     def stored_features(self) -> DataFrame:
@@ -85,7 +94,7 @@ class Lifecycle:
 
     @cached_property
     def curve(self) -> DataFrame:
-        return survival.kaplan_meier(self.features)
+        return survival.kaplan_meier(self.stored_features)
 
     @cached_property
     def segment_curves(self) -> DataFrame:
@@ -116,45 +125,29 @@ class Lifecycle:
         return similarity.nearest_customers(self.stored_matrix)
 
     @cached_property
-    def recommendations(self) -> DataFrame:
-        return recommend.recommend(self.stored_matrix, self.descriptions, neighbours=self.neighbours)
-
-    @cached_property
-    def stored_recommendations(self) -> DataFrame:
-        return materialise(self.recommendations, "recommendations")
+    def stored_neighbours(self) -> DataFrame:
+        return materialise(self.neighbours, "neighbours")
 
     @cached_property
-    def rec_summary(self) -> DataFrame:
-        return recommend.summary_per_customer(self.recommendations)
-
-    @cached_property
-    def sample_customers(self) -> DataFrame:
-        """The customers the recommender is evaluated on."""
-        return materialise(recommend.first_customers(self.stored_matrix, 100), "sample")
+    def long_lists(self) -> DataFrame:
+        """Ten products for every customer, stored; the recommender is evaluated on them."""
+        lists = recommend.recommend(self.stored_matrix, self.descriptions, n=10, neighbours=self.stored_neighbours)
+        return materialise(lists, "long-lists")
 
     @cached_property
-    def sample_neighbours(self) -> DataFrame:
-        return materialise(
-            similarity.nearest_customers(self.stored_matrix, customers=self.sample_customers), "sample-near"
-        )
+    def recommendations(self) -> DataFrame:
+        """The first five of each list."""
+        return self.long_lists.where(F.col("rank") <= 5)
 
     @cached_property
-    def sample_recommendations(self) -> DataFrame:
-        return materialise(
-            recommend.recommend(
-                self.stored_matrix,
-                self.descriptions,
-                n=10,
-                customers=self.sample_customers,
-                neighbours=self.sample_neighbours,
-            ),
-            "sample-recs",
-        )
+    def rec_summary(self) -> DataFrame:
+        return recommend.summary_per_customer(self.recommendations)
 
     @cached_property
     def scored_reviews(self) -> DataFrame:
+        """Scored reviews as a table; the summaries read it, not the texts' words."""
         words = lexicon_tables(self.spark, *fixture_lists())
-        return sentiment.reviews_with_sentiment(self.reviews, *words)
+        return materialise(sentiment.reviews_with_sentiment(self.reviews, *words, keys=["ordinal"]), "scored-reviews")
 
     @cached_property
     def product_sentiment(self) -> DataFrame:
