@@ -704,6 +704,16 @@ _BODIES = {
                            lambda x: avg_sentiment >= x[1])[1][2] AS Band, COUNT(*) AS Products
         FROM product_sentiment GROUP BY 1""",
     "dash_table_counts": _TABLE_COUNTS,
+    "written_outputs": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {source}"
+        for name, source in {
+            "retail_clean": "retail", "reviews_clean": "reviews", "reviews_with_sentiment": "scored_reviews",
+            "product_sentiment": "product_sentiment", "customer_similarity": "top_neighbours", "recommendations": "recommendations",
+            "survival_data": "survival", "at_risk_customers": "at_risk_customers", "rfm_segments": "segments", "master_customers": "facts",
+            "export master_customers": "facts", "export rfm_segments": "segments", "export survival_data": "survival",
+            "export at_risk_customers": "at_risk_customers", "export product_sentiment": "product_sentiment",
+        }.items()
+    ),
 }
 
 ORACLES = {name: _with_steps(body) for name, body in _BODIES.items()}

@@ -22,6 +22,8 @@ from basketwise.operators import (
     similarity,
     survival,
 )
+from basketwise.plans import outputs
+from basketwise.plans.outputs import AT_RISK_EXPORT, ID_RENAME, MASTER_EXPORT, RFM_EXPORT, SURVIVAL_EXPORT
 from basketwise.plans.stages import Lifecycle
 from basketwise.session import materialise, scratch_path
 from basketwise.sinks import writers
@@ -30,22 +32,6 @@ from basketwise.sources.schemas import RETAIL_RAW, REVIEWS_RAW
 
 Query = Callable[[Lifecycle], DataFrame]
 
-# Columns of the exports in order, and renamed ones.
-MASTER_EXPORT = [
-    "CustomerID", "Recency", "Frequency", "Monetary", "RFM_Score", "RFM_Segment", "Cluster_Label", "duration",
-    "churned", "total_orders", "avg_order_value", "days_since_last", "segment",
-]
-RFM_EXPORT = ["CustomerID", "Recency", "Frequency", "Monetary", "RFM_Score", "RFM_Segment", "Cluster_Label"]
-SURVIVAL_EXPORT = [
-    "Customer ID", "duration", "churned", "total_orders", "total_spend", "avg_order_value", "days_since_last",
-    "segment", "purchase_frequency",
-]
-AT_RISK_EXPORT = [
-    "Customer ID", "days_since_last", "total_orders", "total_spend", "avg_order_value", "risk_score", "segment",
-]
-ID_RENAME = {"Customer ID": "CustomerID"}
-
-
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Results of exp, log and long products are reported to a fixed number of digits."""
     return df.withColumns({c: round_even(F.col(c), digits) for c in columns})
@@ -88,7 +74,16 @@ def _published_tables(lc: Lifecycle) -> dict[str, DataFrame]:
 def _publish(lc: Lifecycle) -> DataFrame:
     path = scratch_path(lc.spark, "lifecycle")
     database = "lifecycle_" + path.rsplit("-", 1)[1]
-    return writers.publish(_published_tables(lc), lc.spark, database, path)
+    counts = materialise(writers.publish(_published_tables(lc), lc.spark, database, path), "published")
+    listed = materialise(writers.list_tables(lc.spark, database), "listed")
+    writers.drop_database(lc.spark, database)
+    return counts.join(listed, "table_name")
+
+
+def _written(lc: Lifecycle) -> DataFrame:
+    """Rows of all tables and exports of a run; the RFM segments are the clusters, which any engine repeats."""
+    target = scratch_path(lc.spark, "run")
+    return outputs.counted(outputs.run(lc, target, _by_segment(lc)), lc, target)
 
 
 def _table_counts(lc: Lifecycle) -> DataFrame:
@@ -233,6 +228,7 @@ QUERIES: dict[str, Query] = {
     "reviews_csv_roundtrip": _reviews_csv,
     "parquet_roundtrip": _parquet_roundtrip,
     "publish_tables": _publish,
+    "written_outputs": _written,
     # cleaning and profiling
     "retail_clean": _retail_clean,
     "reviews_clean": lambda lc: lc.reviews.drop("ordinal"),
@@ -337,7 +333,7 @@ QUERIES: dict[str, Query] = {
         lc, writers.export_columns(lc.survival, SURVIVAL_EXPORT, ID_RENAME), "survival-csv"
     ),
     "export_at_risk": lambda lc: _through_csv(
-        lc, writers.export_columns(lc.at_risk, AT_RISK_EXPORT, ID_RENAME), "at-risk-csv"
+        lc, writers.export_columns(survival.by_risk(lc.at_risk), AT_RISK_EXPORT, ID_RENAME), "at-risk-csv"
     ),
     "export_product_sentiment": lambda lc: _through_csv(lc, lc.product_sentiment, "product-csv"),
     "metrics_recommendation": _recommendation_metrics,

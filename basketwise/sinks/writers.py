@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, *partitions: str) -> None:
+    """Overwrite a table; ``partitions`` name the columns that become folders."""
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
 def append_parquet(df: DataFrame, path: str) -> None:
@@ -51,6 +52,16 @@ def publish(
     return table_counts({name: spark.table(f"{database}.{name}") for name in tables})
 
 
+def list_tables(spark: SparkSession, database: str) -> DataFrame:
+    """Names of the tables saved in a database."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").select(F.col("tableName").alias("table_name"))
+
+
+def drop_database(spark: SparkSession, database: str) -> None:
+    """Drop a database with its tables, and their files."""
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     counts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

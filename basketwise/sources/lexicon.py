@@ -26,7 +26,9 @@ NEGATIONS = (
     "wouldnt rarely seldom despite"
 ).split()
 
-# A small lexicon of our own: word and valence from -4 to 4.
+# A small lexicon, word and valence from -4 to 4. Many valences, and the degree and negation words above,
+# agree with the public VADER list (Hutto and Gilbert 2014, MIT licence) and are to be taken as coming from it; offline they
+# could not be compared.
 WORDS = {
     "amazing": 2.8, "awesome": 3.1, "awful": -2.0, "bad": -2.5, "best": 3.2, "better": 1.9, "bland": -1.1,
     "broken": -1.9, "delicious": 2.7, "delightful": 2.8, "disappointed": -2.1, "disappointing": -2.2,

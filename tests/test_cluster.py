@@ -50,12 +50,20 @@ def test_summary_percentages_come_from_rounded_numbers(spark):
     assert master.business_metrics(df, "RFM_Segment").first()["champions_revenue"] is None
 
 
-@pytest.mark.parametrize("name", ["dash_segment_revenue", "dash_segment_revenue_2dp"])
-def test_dashboard_orders_by_revenue(spark, name):
+@pytest.mark.parametrize(("digits", "revenue"), [(0, 11.0), (2, 11.4)])
+def test_dashboard_orders_by_revenue(spark, digits, revenue):
     rows = [("a", 10.4, 1), ("b", 20.0, 0), ("a", 1.0, 0)]
     df = spark.createDataFrame(rows, "RFM_Segment string, Monetary double, churned int")
-    got = [tuple(r) for r in master.dashboard(name, {"master_customers": df}).collect()]
-    assert got == [("b", 1, 20.0, 0.0), ("a", 2, 11.0 if name.endswith("revenue") else 11.4, 50.0)]
+    got = [tuple(r) for r in master.segment_revenue(df, digits).collect()]
+    assert got == [("b", 1, 20.0, 0.0), ("a", 2, revenue, 50.0)]
+
+
+def test_bands_and_top_descriptions(spark):
+    products = spark.createDataFrame([(0.5,), (0.49,), (0.0,), (-0.05,), (-0.06,), (None,)], "avg_sentiment double")
+    got = [tuple(r) for r in master.sentiment_bands(products).collect()]
+    assert got == [("Negative", 2), ("Neutral", 2), ("Positive", 1), ("Very Positive", 1)]
+    lists = spark.createDataFrame([("x", 1.4), ("x", 1.2), ("y", 3.0), ("z", 0.1)], "Description string, Score double")
+    assert [tuple(r) for r in master.top_recommended(lists, 2).collect()] == [("x", 3.0), ("y", 3.0)]
 
 
 def test_metrics_of_runs_pile_up_in_one_table(spark, tmp_path):

@@ -115,8 +115,8 @@ def test_months_and_their_unweighted_mean(scored):
     assert sentiment.monthly_sentiment_overall(monthly).first()[0] == pytest.approx(sum(means.values()) / 2)
 
 
-def test_words_of_the_first_reviews_of_a_class(scored):
-    every = sentiment.word_frequencies(scored, "Positive", first=None).collect()
+def test_words_of_all_reviews_of_a_class(spark, scored):
+    every = sentiment.word_frequencies(scored, "Positive").collect()
     assert [tuple(r) for r in every] == [("taste", 4), ("aaaa", 1), ("goodbad", 1)]
-    two = sentiment.word_frequencies(scored, "Positive", first=2).collect()
-    assert [tuple(r) for r in two] == [("taste", 3), ("goodbad", 1)]
+    many = spark.range(6000).selectExpr("'Positive' AS vader_sentiment", "concat('taste ', if(id > 5500, 'late', 'early')) AS Text")
+    assert [tuple(r) for r in sentiment.word_frequencies(many, "Positive").collect()] == [("taste", 6000), ("early", 5501), ("late", 499)]
