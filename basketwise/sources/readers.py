@@ -18,10 +18,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+FEW_SPLITS = 8
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-distribute a scan that has fewer splits than the session has cores; leave others alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    """Hash-distribute a scan of a few splits that leaves cores idle; leave all others alone.
+
+    A file with one row group cannot be split further. What is moved is bounded by ``FEW_SPLITS`` splits, 1 GB by default.
+    """
+    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if splits < cores and splits <= FEW_SPLITS else df
 
 
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
