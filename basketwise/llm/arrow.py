@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: the white space of the word pattern ``[^\x20\x09-\x0D]+``
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -75,7 +75,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
     """A 64-bit hash of each word, from one running sum over the bytes."""
-    size = 1 << max(22, (len(data) + 1).bit_length())
+    size = 1 << max(20, (len(data) + 1).bit_length())
     forward, back = _powers(size)
     values = (_LOWER[data] if lower else data).astype(np.uint64)
     values += np.uint64(1)

@@ -4,8 +4,8 @@
 2. Answers of very similar sets: sets that share minima of several hashes are compared with the smallest set among
    them (its leader), one comparison per set and shared minimum. Verified links join them into components, and the
    overlap with the leader is kept.
-3. Index: sets are ordered by rising frequency of their grams and list their first grams only; a pair that reaches the
-   threshold shares one of these. Lists whose sets are one component already are skipped as a whole, within the others
+3. Index: the grams of each set are ordered by how many sets have them, and only the first are listed; a pair that reaches the
+   threshold shares one of these. Grams of one set come first and need no list, which leaves many sets without any. Lists whose sets are one component already are skipped as a whole, within the others
    blocks are skipped by set size and position, as far as their bound rules them out.
 4. Pairs found there whose parity bitmaps differ in too many bits cannot reach the threshold and are dropped. For the others the
    leaders are compared first. The overlap of two members follows from that of their leaders up to the
@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketwise.llm import seeds
 from basketwise.llm.arrow import gram_hashes, text_chunks, word_hashes, words
 from basketwise.llm.components import components
 from basketwise.session import materialise
@@ -31,10 +32,10 @@ from basketwise.session import materialise
 _SEEDS = [0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 _OFTEN = 3  # a gram in so many sets of one chunk is counted as frequent
 _FREQUENT = 1 << 16  # frequent grams that are told apart in the order of grams
-_LIST = 1_000_000  # index entries per bucket
+_GRAMS = 4_000_000  # per bucket
 _BLOCK = 512
 _META = "doc_id long, n_shingles long, digest binary, sid long, minima array<long>, bits binary, frequent binary"
-_ENTRY = np.dtype([("gram", "<u8"), ("sid", "<i8"), ("pos", "<u2")])
+_GRAM = np.dtype([("key", "<u8"), ("sets", "<u4")])
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -110,65 +111,84 @@ def _frequent(measured: DataFrame) -> np.ndarray:
     return np.array([r["gram"] for r in top.collect()], dtype=np.int64).view(np.uint64)[::-1].copy()
 
 
-def _index(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """(gram, sid, pos) of the prefixes, for grams that several sets list."""
+def _shared(docs: DataFrame, k: int, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """(sid, grams) of the grams that several sets have, with the number of sets; frequent ones count as most."""
     by_value = np.argsort(frequent)
     values = frequent[by_value]
 
-    def prefix(grams: np.ndarray) -> np.ndarray:
-        size = len(grams) - (percent * len(grams) + 99) // 100 + 1
-        if len(values):
-            place = np.minimum(np.searchsorted(values, grams), len(values) - 1)
-            known = values[place] == grams
-            if known.any():
-                late = grams[known][np.argsort(by_value[place[known]])]
-                return np.concatenate([grams[~known], late])[:size]
-        return grams[:size]
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
-                sets = {_digest(g)[:8]: g for g in _sets(data, offsets, k) if len(g)}
+                sets = {int.from_bytes(_digest(g)[:8], "little", signed=True): g for g in _sets(data, offsets, k) if len(g)}
                 if not sets:
                     continue
-                lists = [prefix(g) for g in sets.values()]
-                sizes = [len(p) for p in lists]
-                entries = np.empty(sum(sizes), _ENTRY)
-                entries["gram"] = np.concatenate(lists)
-                entries["sid"] = np.repeat(np.frombuffer(b"".join(sets), np.int64), sizes)
-                entries["pos"] = np.concatenate([np.minimum(np.arange(n), 65535) for n in sizes])
-                bucket = (entries["gram"] % np.uint64(buckets)).astype(np.int64)
+                sids = np.array(sorted(sets), np.int64)
+                grams = np.concatenate([sets[s] for s in sids.tolist()])
+                owner = np.repeat(sids, [len(sets[s]) for s in sids.tolist()])
+                parts: list[tuple[int, int | None, bytes]] = []
+                if len(values):
+                    place = np.minimum(np.searchsorted(values, grams), len(values) - 1)
+                    known = values[place] == grams
+                    entries = np.empty(int(known.sum()), _GRAM)
+                    entries["key"] = seeds.keys_of(grams[known], buckets)
+                    entries["sets"] = by_value[place[known]] + (1 << 31)
+                    parts += [(s % buckets, s, e) for s, e in seeds.by_text(owner[known], entries)]
+                    grams, owner = grams[~known], owner[~known]
+                keys = seeds.keys_of(grams, buckets)
+                bucket = (keys >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                entries, bucket = entries[order], bucket[order]
-                found, first = np.unique(bucket, return_index=True)
-                parts = [p.tobytes() for p in np.split(entries, first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(parts, pa.binary())], names=["bucket", "entries"])
+                keys, owner, bucket = keys[order], owner[order], bucket[order]
+                edges = np.flatnonzero(np.diff(bucket)) + 1
+                for a, b in zip([0, *edges], [*edges, len(keys)]):
+                    if b > a:
+                        parts.append((int(bucket[a]), None, seeds.pack_by_text(owner[a:b], keys[a:b])))
+                yield seeds.rows(parts)
+
+    def settle(bucket: int, runs: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        sids, low = (np.concatenate(x) for x in zip(*map(seeds.unpack_by_text, runs)))
+        order = np.lexsort((sids, low))
+        sids, low = sids[order], low[order]
+        fresh = np.ones(len(low), bool)  # a set that several chunks hold counts once
+        fresh[1:] = (low[1:] != low[:-1]) | (sids[1:] != sids[:-1])
+        sids, low = sids[fresh], low[fresh]
+        first = np.ones(len(low), bool)
+        first[1:] = low[1:] != low[:-1]
+        group = np.cumsum(first) - 1
+        sets = np.bincount(group)[group]
+        more = sets > 1
+        entries = np.empty(int(more.sum()), _GRAM)
+        entries["key"] = low[more].astype(np.uint64) | np.uint64(bucket << 32)
+        entries["sets"] = sets[more]
+        yield from seeds.by_text(sids[more], entries)
+
+    return seeds.exchange(docs.select("text").mapInArrow(deal, seeds.ROWS), buckets, settle)
+
+
+def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(gram, rep, n, pos, comp) of the prefixes: grams of one set come first and need no list, the others by rising frequency.
+
+    ``shared``: from ``_shared``; ``nodes``: (sid, rep, n, comp).
+    """
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(bucket, []).append(part)
-        for bucket in list(held):
-            entries = np.frombuffer(b"".join(held.pop(bucket)), _ENTRY)
-            entries = entries[np.lexsort((entries["sid"], entries["gram"]))]
-            fresh = np.ones(len(entries), bool)
-            same = entries["gram"][1:] == entries["gram"][:-1]
-            fresh[1:] = ~(same & (entries["sid"][1:] == entries["sid"][:-1]))
-            entries = entries[fresh]
-            same = entries["gram"][1:] == entries["gram"][:-1]
-            more = np.zeros(len(entries), bool)
-            more[1:] |= same
-            more[:-1] |= same
-            entries = entries[more]
-            for i in range(0, len(entries), 1 << 16):
-                part = entries[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_pydict(
-                    {"gram": part["gram"].astype(np.int64), "sid": part["sid"].copy(), "pos": part["pos"].astype(np.int32)}
-                )
-
-    dealt = docs.select("text").mapInArrow(deal, "bucket int, entries binary").repartition(buckets, "bucket")
-    return dealt.mapInArrow(shared, "gram long, sid long, pos int")
+            reps, sizes, comps = (batch.column(i).to_numpy() for i in range(3))
+            found: list[list[np.ndarray]] = [[], [], [], [], []]
+            for rep, n, comp, data in zip(reps, sizes, comps, batch.column(3).to_pylist()):
+                entries = np.unique(seeds.unpacked(data, _GRAM))  # of frequent grams each chunk with the set sent one
+                length = n - (percent * n + 99) // 100 + 1
+                alone = max(0, n - len(entries))
+                if alone >= length:
+                    continue
+                keys = entries["key"][np.lexsort((entries["key"], entries["sets"]))][: length - alone]
+                for column, value in zip(found, (keys.view(np.int64), rep, n, alone + np.arange(len(keys)), comp)):
+                    column.append(np.broadcast_to(value, len(keys)))
+            if found[0]:
+                arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in found]
+                yield pa.RecordBatch.from_arrays(arrays, names=["gram", "rep", "n", "pos", "comp"])
+
+    gathered = seeds.collected(shared).join(nodes, "sid").select("rep", "n", "comp", "data")
+    return gathered.mapInArrow(prefixes, "gram long, rep long, n long, pos long, comp long")
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -298,12 +318,11 @@ def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: st
     stars = materialise(stars, "ngram-stars")
     known = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    entries = nodes.agg(F.sum(F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1)).first()[0] or 0
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(entries) // _LIST + 1)
-    index = _index(docs, k, percent, _frequent(measured), buckets)
+    grams = nodes.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(grams) // _GRAMS + 1)
     labels = nodes.join(known, F.col("rep") == F.col("id"), "left")
-    labels = materialise(labels.select("sid", "rep", "n", F.coalesce("component", "rep").alias("comp")), "ngram-labels")
-    lists = materialise(index.join(labels, "sid").select("gram", "rep", "n", F.col("pos").cast("long").alias("pos"), "comp"), "ngram-lists")
+    labels = labels.select("sid", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    lists = materialise(_index(_shared(docs, k, _frequent(measured), buckets), labels, percent), "ngram-lists")
     mixed = lists.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("gram")
     lists = lists.join(mixed, "gram").repartition("gram").sortWithinPartitions("gram")
     pairs = materialise(_candidates(lists.select("gram", "rep", "n", "pos", "comp"), percent), "ngram-pairs")

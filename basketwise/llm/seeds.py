@@ -41,8 +41,27 @@ def by_text(sids: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]
         yield sid, part.tobytes()
 
 
+def pack_by_text(sids: np.ndarray, keys: np.ndarray) -> bytes:
+    """Texts (in order), how many keys each has, and the lower halves of the keys."""
+    found, first = np.unique(sids, return_index=True)
+    counts = np.diff(np.append(first, len(sids))).astype(np.uint32)
+    return np.uint32(len(found)).tobytes() + found.tobytes() + counts.tobytes() + keys.astype(np.uint32).tobytes()
+
+
+def unpack_by_text(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(run, np.uint32, 1)[0])
+    sids, counts = np.frombuffer(run, np.int64, n, 4), np.frombuffer(run, np.uint32, n, 4 + 8 * n)
+    return np.repeat(sids, counts), np.frombuffer(run, np.uint32, offset=4 + 12 * n)
+
+
+def keys_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket (upper half) and 32 more bits of a hash."""
+    high, low = np.divmod(values, np.uint64(buckets))
+    return (low << np.uint64(32)) | (high & np.uint64(0xFFFFFFFF))
+
+
 def exchange(sent: DataFrame, buckets: int, settle) -> DataFrame:
-    """(sid, data) rows: those that were known, and what ``settle(runs)`` yields for the runs of each bucket."""
+    """(sid, data) rows: those that were known, and what ``settle(bucket, runs)`` yields for the runs of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -56,7 +75,7 @@ def exchange(sent: DataFrame, buckets: int, settle) -> DataFrame:
             if known:
                 yield _marks(known)
         for bucket in list(held):
-            found = list(settle(held.pop(bucket)))
+            found = list(settle(bucket, held.pop(bucket)))
             for i in range(0, len(found), 4096):
                 yield _marks(found[i : i + 4096])
 

@@ -69,7 +69,7 @@ def _send(entries: np.ndarray, sure: np.ndarray, first: np.ndarray, buckets: int
 
 
 def _settle(known: str):
-    def settle(runs: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    def settle(_: int, runs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         entries = np.frombuffer(b"".join(runs), _ENTRY)
         entries = np.unique(entries)  # an equal text in another task
         more, _ = _repeated(entries)
