@@ -164,7 +164,7 @@ def _shared(docs: DataFrame, k: int, frequent: np.ndarray, buckets: int) -> Data
     return seeds.exchange(docs.select("text").mapInArrow(deal, seeds.ROWS), buckets, settle)
 
 
-def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _index(shared: DataFrame, nodes: DataFrame, percent: int, buckets: int) -> DataFrame:
     """(gram, rep, n, pos, comp) of the prefixes: grams of one set come first and need no list, the others by rising frequency.
 
     ``shared``: from ``_shared``; ``nodes``: (sid, rep, n, comp).
@@ -187,7 +187,7 @@ def _index(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 arrays = [pa.array(np.concatenate(c).astype(np.int64)) for c in found]
                 yield pa.RecordBatch.from_arrays(arrays, names=["gram", "rep", "n", "pos", "comp"])
 
-    gathered = seeds.collected(shared).join(nodes, "sid").select("rep", "n", "comp", "data")
+    gathered = seeds.collected(shared, buckets).join(nodes, "sid").select("rep", "n", "comp", "data")
     return gathered.mapInArrow(prefixes, "gram long, rep long, n long, pos long, comp long")
 
 
@@ -322,7 +322,7 @@ def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: st
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(grams) // _GRAMS + 1)
     labels = nodes.join(known, F.col("rep") == F.col("id"), "left")
     labels = labels.select("sid", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-    lists = materialise(_index(_shared(docs, k, _frequent(measured), buckets), labels, percent), "ngram-lists")
+    lists = materialise(_index(_shared(docs, k, _frequent(measured), buckets), labels, percent, buckets), "ngram-lists")
     mixed = lists.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("gram")
     lists = lists.join(mixed, "gram").repartition("gram").sortWithinPartitions("gram")
     pairs = materialise(_candidates(lists.select("gram", "rep", "n", "pos", "comp"), percent), "ngram-pairs")

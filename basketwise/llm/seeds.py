@@ -11,10 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 ROWS = "bucket int, sid long, data binary"
-MARKS = "sid long, data binary"
 _NAMES = ["bucket", "sid", "data"]
 
 
@@ -61,7 +59,10 @@ def keys_of(values: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def exchange(sent: DataFrame, buckets: int, settle) -> DataFrame:
-    """(sid, data) rows: those that were known, and what ``settle(bucket, runs)`` yields for the runs of each bucket."""
+    """(bucket, data): what was known of texts, and what ``settle(bucket, runs)`` yields of them for the runs of each bucket.
+
+    Both are packed by the texts' own buckets, so a task sends one row to each; ``collected`` takes them apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -73,24 +74,49 @@ def exchange(sent: DataFrame, buckets: int, settle) -> DataFrame:
                 else:
                     known.append((sid, data))
             if known:
-                yield _marks(known)
+                yield _packed(known, buckets)
         for bucket in list(held):
             found = list(settle(bucket, held.pop(bucket)))
-            for i in range(0, len(found), 4096):
-                yield _marks(found[i : i + 4096])
-
-    return sent.repartition(buckets, "bucket").mapInArrow(run, MARKS)
+            if found:
+                yield _packed(found, buckets)
 
+    return sent.repartition(buckets, "bucket").mapInArrow(run, "bucket int, data binary")
 
-def _marks(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    sid, data = zip(*found)
-    return pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), pa.array(data, pa.binary())], names=["sid", "data"])
 
+def _packed(found: list[tuple[int, bytes]], buckets: int) -> pa.RecordBatch:
+    by_bucket: dict[int, list[tuple[int, bytes]]] = {}
+    for sid, data in found:
+        by_bucket.setdefault(sid % buckets, []).append((sid, data))
+    packed = []
+    for rows_ in by_bucket.values():
+        sids, data = zip(*rows_)
+        sizes = np.array([len(d) for d in data], np.uint32)
+        packed.append(np.uint32(len(sids)).tobytes() + np.array(sids, np.int64).tobytes() + sizes.tobytes() + b"".join(data))
+    return pa.RecordBatch.from_arrays([pa.array(list(by_bucket), pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "data"])
 
-def collected(marks: DataFrame) -> DataFrame:
-    """All packed values of each text, as one list; a text's own size bounds it."""
-    return marks.groupBy("sid").agg(F.collect_list("data").alias("data"))
 
+def collected(exchanged: DataFrame, buckets: int) -> DataFrame:
+    """(sid, data): all packed values of each text in one row; a text's own size bounds it."""
 
-def unpacked(data: list[bytes] | None, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(data or []), dtype=kind)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for data in batch.column(1).to_pylist():
+                n = int(np.frombuffer(data, np.uint32, 1)[0])
+                sids = np.frombuffer(data, np.int64, n, 4).tolist()
+                ends = 4 + 12 * n + np.cumsum(np.frombuffer(data, np.uint32, n, 4 + 8 * n), dtype=np.int64)
+                at = 4 + 12 * n
+                for sid, end in zip(sids, ends.tolist()):
+                    held.setdefault(sid, []).append(data[at:end])
+                    at = end
+        sids = list(held)
+        for i in range(0, len(sids), 1024):
+            part = sids[i : i + 1024]
+            joined = [b"".join(held.pop(s)) for s in part]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(joined, pa.binary())], names=["sid", "data"])
+
+    return exchanged.repartition(buckets, "bucket").mapInArrow(run, "sid long, data binary")
+
+
+def unpacked(data: bytes | None, kind) -> np.ndarray:
+    return np.frombuffer(data or b"", dtype=kind)

@@ -146,9 +146,9 @@ def remove_repeats(docs: DataFrame, *, window: int = 35, gram: int = 16, text: s
     total = sizes.agg(F.sum("size")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total) // (64 << 20) + 1)
 
-    anchors = seeds.collected(materialise(_anchors(texts, window, gram, buckets), "repeat-anchors"))
+    anchors = seeds.collected(materialise(_anchors(texts, window, gram, buckets), "repeat-anchors"), buckets)
     marked = texts.join(anchors, "sid").select("sid", "text", "data")
-    places = seeds.collected(materialise(_windows(marked, window, gram, buckets), "repeat-places"))
+    places = seeds.collected(materialise(_windows(marked, window, gram, buckets), "repeat-places"), buckets)
     facts = sizes.where("copies > 1").select("sid", "copies").join(places, "sid", "full").withColumnRenamed("data", "__places")
     facts = materialise(facts, "repeat-facts")
 
