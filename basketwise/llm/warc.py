@@ -74,23 +74,40 @@ def _field(name: str) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """What lies between version lines, with file and offset of the line before it (null text before the first)."""
+    """What lies between version lines, in order of (block, at) in each file."""
     raw = spark.read.option("lineSep", VERSION).text(path)
-    raw = raw.select(
+    return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
+        (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("end"),
         F.monotonically_increasing_id().alias("at"),
         "value",
         F.octet_length("value").cast("long").alias("length"),
     )
-    return raw
 
 
 def _placed(pieces: DataFrame) -> DataFrame:
-    """Adds each piece's offset: the lengths before it in its file, and the version lines between."""
-    order = "(PARTITION BY file ORDER BY block, at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    before = F.expr(f"sum(length + {len(VERSION)}) OVER {order} - length - 2 * {len(VERSION)}")
-    return pieces.withColumn("offset", before).where("offset >= 0")
+    """Adds each piece's offset: that of the version line before it. What stands before the first one is left out.
+
+    A piece belongs to the block in which its version line starts. Where a block ends in what could have been the start of a
+    version line, the line reader goes on for one piece too many, which the next block has as well; it is left out here.
+    Blocks are walked in order per file, with three numbers for each.
+    """
+    v = len(VERSION)
+    blocks = pieces.groupBy("file", "block", "end").agg(
+        F.sum(F.col("length") + v).alias("total"), F.max_by("length", "at").alias("last"), F.max("at").alias("last_at")
+    )
+    listed = blocks.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "end", "total", "last", "last_at"))).alias("blocks"))
+    extra = f"s.pos + b.total - b.last >= b.end + {v}"
+    walk = f"""inline(aggregate(blocks,
+        named_struct('pos', -{v}L, 'out', cast(array() AS array<struct<block: bigint, base: bigint, extra: bigint>>)),
+        (s, b) -> named_struct('pos', s.pos + b.total - if({extra}, b.last + {v}, 0L), 'out', concat(s.out,
+            array(named_struct('block', b.block, 'base', s.pos, 'extra', if({extra}, b.last_at, -1L))))),
+        s -> s.out))"""
+    bases = listed.select("file", F.expr(walk))
+    before = F.expr(f"sum(length + {v}) OVER (PARTITION BY file, block ORDER BY at) - length - {v}")
+    placed = pieces.withColumn("before", before).join(bases, ["file", "block"]).where("at <> extra")
+    return placed.withColumn("offset", F.col("base") + F.col("before")).where("offset >= 0").drop("before", "base", "extra")
 
 
 def reachable(links: DataFrame, most: int) -> DataFrame:
@@ -126,7 +143,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     declared = F.regexp_extract(F.substring_index("value", _END, 1), "(?:^|\r\n)Content-Length: ([0-9]{1,15})(?:\r\n|$)", 1)
     raw = F.col("value").cast("binary")
     parsed = pieces.select(
-        "file", "block", "at", "length",
+        "file", "block", "end", "at", "length",
         F.when(head_end > 0, F.substring_index("value", _END, 1)).alias("head"),
         F.when((head_end > 0) & (declared != ""), head_bytes.cast("long")).alias("skip"),
         F.when(declared != "", declared.cast("long")).alias("declared"),
@@ -134,7 +151,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             (head_end > 0) & (declared != ""), F.sha2(F.substring(raw, head_bytes + 1, declared.cast("int")), 256)
         ).alias("digest"),
     )
-    placed = materialise(_placed(parsed), "warc-pieces")
+    placed = materialise(_placed(materialise(parsed, "warc-parsed")), "warc-pieces")
     successor = F.col("offset") + len(VERSION) + F.col("skip") + F.col("declared") + len(_END)
     links = placed.where("skip is not null").select("file", "offset", successor.alias("successor"))
     most = placed.groupBy("file").count().agg(F.max("count")).first()[0] or 0

@@ -13,7 +13,13 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Sends workers the package's folder on their search path. A cluster without it there ships the package with the job."""
+    """Sends workers the package's folder on their search path, and bounds the batches that are sent to them.
+
+    A cluster without the package in that folder ships it with the job. Rows here hold whole texts, so a batch of the default
+    10,000 rows could take much of an executor's memory; the session's two settings are lowered.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     environment = spark.sparkContext.environment
     path = environment.get("PYTHONPATH", "")
     if _ROOT not in path.split(os.pathsep):
