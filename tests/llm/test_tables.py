@@ -46,7 +46,7 @@ def test_archives_come_back(spark):
 def test_chain_survives_splits_and_breaks_off(spark):
     path = scratch_path(spark, "warc-test")
     body = "".join(HEAD.replace(":77", f":{i}").replace("hello", f"WARC{i % 10}") for i in range(200))
-    spark.createDataFrame([(body + HEAD[:90],)], "value string").coalesce(1).write.text(path)
+    spark.createDataFrame([(body + HEAD[:85],)], "value string").coalesce(1).write.text(path)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
     try:
