@@ -104,6 +104,38 @@ def test_near_vectors(spark, vectors):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def crowded(n, pairs, mean, seed, size=32):
+    """``n`` vectors whose mean cosine is ``mean``, and as many of these, ``pairs``, again at a cosine of 0.982."""
+    r = np.random.default_rng(seed)
+    base = r.standard_normal(size)
+    base /= np.linalg.norm(base)
+    out = r.standard_normal((n, size)) / np.sqrt(size) * np.sqrt(1 / mean - 1) + base
+    out /= np.linalg.norm(out, axis=1, keepdims=True)
+    off = r.standard_normal((pairs, size))
+    off -= (off * out[:pairs]).sum(axis=1, keepdims=True) * out[:pairs]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    return np.concatenate([out, 0.982 * out[:pairs] + np.sqrt(1 - 0.982**2) * off])
+
+
+def test_near_vectors_of_crowded_labels(spark):
+    """Nearly all links between brute force's pairs are found where one direction is common to a label."""
+    rows, linked = [], set()
+    for label, mean in enumerate([0.8, 0.93]):
+        vectors = crowded(6000, 150, mean, label)
+        units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        first = len(rows)
+        rows += [(first + i, v.tolist(), label) for i, v in enumerate(vectors)]
+        for i in range(0, len(units), 1000):
+            near = units[i : i + 1000] @ units.T >= 0.98
+            linked |= {(first + i + int(a), first + int(b)) for a, b in zip(*np.nonzero(near)) if i + a < b}
+    assert len(linked) >= 300
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    part = {r["vec_id"]: r["component_id"] for r in neardup.near_duplicates(df).collect()}
+    together = sum(part[a] == part[b] for a, b in linked)
+    print(f"recall of {len(linked)} links: {together / len(linked):.3f}")
+    assert together >= 0.98 * len(linked)
+
+
 def test_preferences(spark):
     r = random.Random(1)
     turns = []
