@@ -203,3 +203,12 @@ def test_stages_take_odd_documents(spark, stage, tmp_path):
         out = stage(spark, frame, str(tmp_path))
         assert out.columns[:5] == docs.columns
         assert out.where(F.col("doc_id") == 1).count() == frame.where(F.col("doc_id") == 1).count() or stage is corpus_pipeline.identify_language
+
+
+def test_only_contaminated_documents_go(spark, tmp_path):
+    item = "some item of the test that has more than sixteen words so that passages are compared with it as well"
+    texts = [(None, "clean words here"), (None, f"before it {item} after it"), (7, "clean words there"), (7, item), (8, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 3) for i, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.remove_benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out) == [(0, ""), (0, "clean words here"), (7, "clean words there"), (8, "")]
