@@ -272,6 +272,36 @@ def test_contamination(spark, empty):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_contamination_by_item_length(spark):
+    """Recall of exact copies in longer texts against the subsequence over all pairs, by the item's length."""
+    r = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    lengths = [1, 2, 3, 6, 8, 10, 12, 15, 20, 33, 59, 100, 300, 500]
+    items = [(k, " ".join(r.choices(vocabulary, k=n))) for k, n in enumerate(n for n in lengths for _ in range(4))]
+    texts = [" ".join(r.choices(vocabulary, k=r.randrange(40, 200))) for _ in items]
+    texts = [(k, f"{t} {items[k][1]} {' '.join(r.choices(vocabulary, k=90))}") for k, t in enumerate(texts)]
+    expected = set()
+    for k, item in items:
+        known = decontaminate.Item(k, item)
+        size = len(known.words)
+        for d, text in texts:
+            ids = decontaminate._of_text(text).tolist()
+            span = size + size // 2 + 1
+            if sum(w in known.masks for w in ids) >= 0.65 * size and any(
+                sum(w in known.masks for w in ids[i : i + span]) >= 0.65 * size
+                and decontaminate.subsequence(known.masks, size, ids[i : i + span]) >= 0.65 * size
+                for i in range(max(1, len(ids) - span + 1))
+            ):
+                expected.add((d, k))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, benchmark).collect()}
+    for n in lengths:
+        all_n = {e for e in expected if len(items[e[1]][1].split()) == n}
+        print(n, len(all_n), f"{len(all_n & got) / len(all_n):.2f}")
+    assert got == expected and len(expected) >= len(items)
+
+
 def test_longest_common_subsequence():
     r = random.Random(4)
     for _ in range(50):
