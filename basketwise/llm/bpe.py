@@ -1,7 +1,8 @@
 """Byte-level BPE by dynamic programming over prefixes, and its inverse.
 
 A text is cut into pre-tokens by the vocabulary's public pattern. Within one, every prefix has exactly one last token
-in its BPE encoding: among the tokens that end there (found for all ends in one pass of a suffix automaton), it is the
+in its BPE encoding: among the tokens that end there (found for all ends in one pass of an
+Aho-Corasick automaton over the tokens, which takes the place of a suffix automaton: it is built once, not per text), it is the
 one that is compatible with the last token of the prefix before it. Storing it per prefix and following the pointers
 back from the end gives the ids, in time linear in the length.
 
