@@ -124,6 +124,73 @@ SELECT chosen_id, rejected_id, n::INTEGER AS prompt_turns,
 FROM k
 """
 
+# the crc32 of {0}, a string, by the 256 values of the table `crc(t)` that _CRC makes from the polynomial
+_CRC = """
+bits(i, k, v) AS (
+  SELECT i::BIGINT, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM bits WHERE k < 8
+), crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8)
+"""
+_CRC_OF = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({0}))), "
+    "lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT)), "
+    "lambda c, b: xor(c // 256, crc.t[xor(c % 256, b) + 1])))"
+)
+
+OP11 = f"""
+WITH RECURSIVE {_CRC},
+r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), d AS (SELECT doc_id, run, count(*) AS c FROM r GROUP BY ALL),
+h AS (SELECT run, c, {_CRC_OF.format("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM d, crc),
+w AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(c)::BIGINT AS n
+  FROM h GROUP BY 1
+), words AS MATERIALIZED (SELECT * FROM w WHERE length(word) >= 6 AND n >= 5),
+place AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
+gap AS MATERIALIZED (SELECT word, n, left(word, i) AS a, substr(word, i + 2) AS b FROM place),
+near AS (
+  SELECT x.word, y.word AS near, y.n FROM gap x JOIN gap y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT gap.word, words.word, words.n FROM gap JOIN words ON words.word = gap.a || gap.b
+  UNION SELECT words.word, gap.word, gap.n FROM gap JOIN words ON words.word = gap.a || gap.b
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-n, encode(near))) AS near, max(n) AS near_n FROM near GROUP BY word
+), f AS MATERIALIZED (
+  SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * words.n THEN near END AS form,
+         CASE WHEN near_n >= 5 * words.n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), path(word, here, k) AS (
+  SELECT word, word, 0 FROM f UNION ALL SELECT path.word, f.form, k + 1 FROM path JOIN f ON f.word = path.here WHERE f.form IS NOT NULL
+), root AS (SELECT word, arg_max(here, k) AS root FROM path GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN root USING (word)
+"""
+
+OP12 = f"""
+WITH RECURSIVE {_CRC},
+own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (SELECT conv_id, l, ({_CRC_OF.format("conv_id::VARCHAR")} % 4)::BIGINT AS h FROM own, crc),
+c AS (
+  SELECT h.conv_id, list_concat(coalesce(head.l[1:h.h], []), h.l[h.h + 1:]) AS l
+  FROM h LEFT JOIN own head ON head.conv_id = h.conv_id - h.conv_id % 20
+), p AS (SELECT conv_id, d, l[1:d] AS s, d = len(l) AS ends FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM c)),
+node AS (
+  SELECT s, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+         (count(*) - 1) * coalesce(len(regexp_extract_all(any_value(s)[d].x, {_WORDS})), 0) AS saved
+  FROM p GROUP BY s, d
+), kids AS (SELECT s[1:d - 1] AS s, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+n AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (s)),
+up AS (SELECT n.d, n.n_children, n.saved, unnest(range(0, n.d + 1)) AS top, n.s FROM n),
+total AS (
+  SELECT s[1:top] AS s, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM up GROUP BY 1
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN total USING (s) LEFT JOIN n parent ON parent.s = n.s[1:n.d - 1] AND parent.d = n.d - 1
+"""
+
 ORACLES: dict[str, str] = {
     "op1_warc": OP1,
     "op2_ngram_join": OP2,
@@ -131,4 +198,6 @@ ORACLES: dict[str, str] = {
     "op6_suffix": OP6,
     "op7_substring": OP7,
     "op9_preferences": OP9,
+    "op11_spelling": OP11,
+    "op12_prefix_trie": OP12,
 }

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketwise.llm import bpe, decontaminate, langid, neardup, ngram_join, preference, sharding, substring, suffix, warc
+from basketwise.llm import bpe, decontaminate, langid, neardup, ngram_join, packing, preference, sharding, spelling, substring, suffix, trie, warc
 from basketwise.llm.oracles import ORACLES
 from basketwise.llm.workers import ready
+from basketwise.session import materialise
 from basketwise.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +89,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(_table(spark, sf_dir, "documents"), drop_every=199)
+    return spelling.variants(counts.where((F.length("word") >= 6) & (F.col("n") >= 5)), ratio=5)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = materialise(trie.numbered_turns(_table(spark, sf_dir, "conversations")), "trie-turns")
+    turns = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return trie.prefix_trie(*trie.graft(own, F.col("conv_id") - F.col("conv_id") % 20, turns.cast("int"), 3))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_ngram_join": op2_ngram_join,
@@ -99,6 +115,9 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_preferences": op9_preferences,
     "op10_sharding": op10_sharding,
+    "op11_spelling": op11_spelling,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_packing": op13_packing,
     "pipeline": corpus_pipeline.run,
 }
 __all__ = ["ORACLES", "QUERIES"]

@@ -24,7 +24,7 @@ def duck():
 def test_registered():
     assert QUERIES.keys() <= queries().keys()
     assert ORACLES.keys() <= oracle_sql().keys()
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES if name.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES if name.startswith("op")}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
