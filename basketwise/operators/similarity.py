@@ -4,31 +4,21 @@ Similarity is ranked by ``dot^2 / |b|^2`` for a fixed customer a. Both numbers a
 similarities give equal ranks and the customer id decides.
 
 Work per product is bounded. A product bought by at most ``max_pair_degree`` customers is joined
-with itself. For the more popular ones only customers with different *popular baskets* (the popular
-part of their counts) are compared, block against block, and each basket hands on just the
-``k + 1`` customers of it that can matter: among equal popular baskets the similarity to any other
-customer with whom nothing else is shared depends on the customer's own length alone.
-No pair is left out: a pair that also shares a rarer product comes from the join, with its popular
-part added.
+with itself. The more popular ones go through an inverted index with bound-driven prefixes
+(``_popular_only``), which lists only what can still reach a customer's k best. No pair is left out: a
+pair that also shares a rarer product comes from the join, with its popular part added.
 """
 
 from __future__ import annotations
 
-import sys
-from math import ceil
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketwise.session import materialise
 
-BLOCK_ROWS = 4096
-
-# the block comparison runs in Python workers, which need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+LEVELS = 12  # the highest class of thresholds: 1 - 4 ** -LEVELS and above
+CELL_ROWS = 4096  # entries of one cell of the index that stay together
+_SLACK = 1 - 1e-9  # bounds are doubles, ranks are not
 
 
 def purchase_matrix(retail: DataFrame) -> DataFrame:
@@ -92,125 +82,128 @@ def _add_popular(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFra
     return pairs.unionByName(extra).groupBy("a", "b", "n2a", "n2b").agg(F.sum("dot").alias("dot"))
 
 
-def _top_members(scores: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
-    """Positions of the ``keep`` best columns by (score desc, id asc); zeros never count."""
-    hit = np.flatnonzero(scores)
-    if len(hit) > keep:
-        edge = np.partition(scores[hit], len(hit) - keep)[len(hit) - keep]
-        hit = hit[scores[hit] >= edge]
-    return hit[np.lexsort((ids[hit], -scores[hit]))][:keep]
-
-
-def _compare_blocks(keep: int):
-    """Best candidates of one block of baskets for every basket of another block."""
-
-    def compare(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        codes, column = np.unique(np.concatenate([np.concatenate(queries.codes), np.concatenate(candidates.codes)]),
-                                  return_inverse=True)
-        sizes = candidates.codes.str.len().to_numpy()
-        split = int(queries.codes.str.len().sum())
-        owner = np.repeat(np.arange(len(candidates)), sizes)
-        units = np.concatenate(candidates.units).astype("float64")
-        by_code = np.argsort(column[split:], kind="stable")
-        owner, units = owner[by_code], units[by_code]
-        starts = np.searchsorted(column[split:][by_code], np.arange(len(codes) + 1))
-        ids, n2 = candidates.b.to_numpy(), candidates.n2b.to_numpy().astype("float64")
-        rows, at = [], 0
-        for query, width, q in zip(queries.basket, queries.codes.str.len(), queries.units, strict=True):
-            dots = np.zeros(len(candidates))
-            for code, unit in zip(column[at : at + width], q, strict=True):
-                part = slice(starts[code], starts[code + 1])
-                dots[owner[part]] += units[part] * unit
-            at += width
-            best = _top_members(dots * dots / n2, ids, keep)
-            rows.append(
-                pd.DataFrame(
-                    {"basket": query, "b": ids[best], "n2b": candidates.n2b.to_numpy()[best],
-                     "dot": dots[best].astype("int64")}
-                )
-            )
-        return pd.concat(rows, ignore_index=True)
-
-    return compare
-
-
-def _cuts(df: DataFrame, key: str, rows: int) -> list[float]:
-    """Values that cut a column into ranges of about ``BLOCK_ROWS`` rows."""
-    parts = ceil(rows / BLOCK_ROWS)
-    if parts < 2:
-        return []
-    return df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)])).first()[0]
-
-
-def _below(cuts: list[float], value: Column) -> Column:
-    """Number of cuts below a value."""
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
-
-
-def _popular_only(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+def _with_rest(rows: DataFrame, owner: str) -> DataFrame:
+    """Adds ``rest``, the length of what follows an entry in its owner's list, and ``ahead``, with the entry itself."""
+    later = Window.partitionBy(owner).orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    squares = F.coalesce(F.sum(F.col("x") * F.col("x")).over(later), F.lit(0.0))
+    return rows.withColumn("rest2", squares).select("*", F.sqrt("rest2").alias("rest"), F.sqrt(F.col("rest2") + F.col("x") * F.col("x")).alias("ahead")).drop("rest2")
+
+
+def _nearby(members: DataFrame, k: int) -> DataFrame:
+    """(basket, b, n2b): some members that are likely near a basket, to start from. What is found here only sets thresholds.
+
+    Members are laid out twice, by the product they hold most of and by their most popular one, and within each by their other
+    products and weights. A layout's part holds about ``CELL_ROWS`` members of a product, dealt by hash if it has more.
+    """
+    largest = F.array_max(F.transform("items", lambda i: F.struct(i["q"].alias("q"), i["StockCode"].alias("StockCode"))))
+    shapes = {
+        "most": (largest["StockCode"], largest["q"] / F.sqrt("n2")),
+        "last": (F.element_at("items", -1)["StockCode"], F.element_at("items", -1)["q"] / F.sqrt("n2")),
+    }
+    found = None
+    for code, weight in shapes.values():
+        laid = members.select("basket", "b", "n2", code.alias("code"), weight.alias("weight"), F.transform("items", lambda i: i["StockCode"]).alias("codes"))
+        many = laid.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("parts"))
+        laid = laid.join(many, "code").withColumn("part", F.pmod(F.xxhash64("basket"), F.col("parts")))
+        around = Window.partitionBy("code", "part").orderBy("codes", "weight", "basket", "n2", "b")
+        ahead = around.rowsBetween(-(k + 1), k + 1)
+        seen = laid.withColumn("m", F.collect_list(F.struct("b", F.col("n2").alias("n2b"))).over(ahead))
+        pairs = seen.select("basket", F.explode("m").alias("m"))
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.select("basket", "m.b", "m.n2b").distinct()
+
+
+def _basket_dots(pairs: DataFrame, queries: DataFrame, entries: DataFrame) -> DataFrame:
+    """(basket, b, n2b, dot) of every pair (basket, b, n2b)."""
+    asked = pairs.join(queries.select("basket", "StockCode", F.col("q").alias("qa")), "basket")
+    both = asked.join(entries.select("b", "StockCode", F.col("q").alias("qb")), ["b", "StockCode"])
+    return both.groupBy("basket", "b", "n2b").agg(F.sum(F.col("qa") * F.col("qb")).alias("dot"))
+
+
+def _kth_key(pairs: DataFrame, by: str, k: int) -> DataFrame:
+    """(by, key) of the k-th best of each, where there is one."""
+    order = Window.partitionBy(by).orderBy(F.desc("key"))
+    keyed = pairs.select(by, _rank_key(F.col("dot"), F.col("n2b")).alias("key"))
+    return keyed.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select(by, "key")
+
+
+def _met(queries: DataFrame, entries: DataFrame) -> DataFrame:
+    """(basket, b, n2b) that can reach the basket's threshold by popular products.
+
+    queries: basket, t, StockCode, x, rest, ahead, near1, near2; entries: b, n2b, StockCode, x, rest, ahead, near1, near2. Both are
+    listed by rising degree. The first product that two lists share is where both still have at least t ahead of them; there
+    their parts allow at most ``x * x' + rest * rest'``. Vectors at cosine t are at most sqrt(2 - 2 t) apart in each
+    product: thresholds are put into classes, and the index into cells of the class's width, by the shared product and the two
+    most popular ones. Cells with very many entries are dealt by hash.
+    """
+    level = F.least(F.floor(-F.log2(F.greatest(1 - F.col("t"), F.lit(4.0 ** -(LEVELS + 1)))) / 2), F.lit(LEVELS)).cast("int")
+    queries = queries.where(F.col("ahead") >= F.col("t") * _SLACK).withColumn("level", level)
+    levels = F.broadcast(queries.select("level").distinct())  # at most LEVELS + 1
+    apart = F.sqrt(2 * F.pow(F.lit(4.0), -F.col("level"))) + 1e-9
+    keys = ["level", "StockCode", "c0", "c1", "c2"]
+    sides = {"c0": "x", "c1": "near1", "c2": "near2"}
+    cell = lambda value: F.floor(value / (2 * F.col("apart"))).cast("int")
+    index = entries.join(levels, F.col("ahead") >= (1 - F.pow(F.lit(4.0), -F.col("level"))) * _SLACK).withColumn("apart", apart)
+    index = index.select(*keys[:2], *[cell(F.col(v)).alias(c) for c, v in sides.items()], "b", "n2b", F.col("x").alias("xb"), F.col("rest").alias("rest_b"))
+    asking = queries.withColumn("apart", apart)
+    for c, v in sides.items():
+        asking = asking.withColumn(c, F.explode(F.sequence(cell(F.col(v) - F.col("apart")), cell(F.col(v) + F.col("apart")))))
+    asking = asking.select(*keys, "basket", "t", "x", "rest")
+    full = index.groupBy(keys).agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("parts")).where("parts > 1")
+    index = index.join(full, keys, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    asking = asking.join(full, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    possible = F.col("x") * F.col("xb") + F.col("rest") * F.col("rest_b") >= F.col("t") * _SLACK
+    return asking.join(index, [*keys, "salt"]).where(possible).select("basket", "b", "n2b").distinct()
+
+
+def _popular_only(asking: DataFrame, owned: DataFrame, known: DataFrame, k: int) -> DataFrame:
     """Candidates by popular products alone, at least the k best of each customer.
 
-    With p = |popular part|^2 / |b|^2 no customer b is closer to a basket than p allows. A basket with
-    k + 1 members of its own therefore needs no one whose p is below its members' least. Baskets are
-    laid out by that bound and candidates by p, and only blocks that can matter to each other meet.
+    Among customers with one popular basket the similarity to any other customer with whom nothing else is shared depends
+    on the other's length alone. So a basket asks once, and offers its ``k + 1`` shortest customers (ties by id).
+
+    Args:
+        asking, owned: CustomerID, n2, StockCode, q, degree of popular products, of those who ask and of all.
+        known: pairs found so far, whose k-th best of each customer is a threshold.
     """
 
     def baskets(rows: DataFrame) -> DataFrame:
-        # a basket holds at most the popular products of one customer
-        return rows.groupBy("CustomerID", "n2").agg(
-            F.sort_array(F.collect_list(F.struct("StockCode", "q"))).alias("items"),
-            (F.sum(F.col("q") * F.col("q")) / F.col("n2")).alias("p"),
-        )
+        # a basket holds at most the popular products of one customer, the least popular first
+        return rows.groupBy("CustomerID", "n2").agg(F.sort_array(F.collect_list(F.struct("degree", "StockCode", "q"))).alias("items"))
 
-    owned = materialise(baskets(right), "popular-baskets")
+    owners = materialise(baskets(owned), "popular-baskets")
+    askers = owners if asking is owned else baskets(asking)
     shortest = Window.partitionBy("items").orderBy("n2", "CustomerID")
-    # ranges of equal values are told apart by a fraction that only ever loosens the bound
-    noise = F.pmod(F.xxhash64("CustomerID"), F.lit(1000)) * 1e-12
-    members = materialise(
-        owned.withColumn("_n", F.row_number().over(shortest)).where(F.col("_n") <= k + 1).drop("_n")
-        .withColumn("reach", F.col("p") + noise),
-        "basket-members",
-    )
-    asking = owned if left is right else baskets(left)
-    bounds = members.groupBy("items").agg(
-        F.when(F.count(F.lit(1)) > k, F.min("p")).otherwise(0.0).alias("bound"), F.min("CustomerID").alias("first")
-    )
-    named = materialise(
-        (bounds if left is right else bounds.join(asking.select("items").distinct(), "items", "left_semi"))
-        .withColumn("basket", F.monotonically_increasing_id())
-        .withColumn("start", F.col("bound") - F.pmod(F.xxhash64("first"), F.lit(1000)) * 1e-12),
-        "basket-names",
-    )
-    reach_cuts, start_cuts = _cuts(members, "reach", members.count()), _cuts(named, "start", named.count())
-    arrays = [F.col("items.StockCode").alias("codes"), F.col("items.q").alias("units")]
-    queries = named.select(
-        "basket", *arrays, _below(start_cuts, F.col("start")).alias("i"),
-        F.explode(F.sequence(_below(reach_cuts, F.col("bound")), F.lit(len(reach_cuts)))).alias("j"),
-    )
-    candidates = members.select(
-        F.col("CustomerID").alias("b"), F.col("n2").alias("n2b"), *arrays,
-        F.explode(F.sequence(F.lit(0), _below(start_cuts, F.col("reach")))).alias("i"),
-        _below(reach_cuts, F.col("reach")).alias("j"),
-    )
-    best = (
-        queries.groupBy("i", "j")
-        .cogroup(candidates.groupBy("i", "j"))
-        .applyInPandas(_pairs_or_nothing(_compare_blocks(k + 1)), "basket long, b long, n2b long, dot long")
-    )
-    best = _best(best, k + 1, by="basket").drop("rank")
-    asked = asking.join(named, "items").select(F.col("CustomerID").alias("a"), F.col("n2").alias("n2a"), "basket")
-    return asked.join(best, "basket").where(F.col("a") != F.col("b")).select("a", "b", "n2a", "n2b", "dot")
-
-
-def _pairs_or_nothing(compare):
-    def guarded(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or candidates.empty:
-            return pd.DataFrame({"basket": [], "b": [], "n2b": [], "dot": []}, dtype="int64")
-        return compare(queries, candidates)
-
-    return guarded
+    kept = owners.withColumn("_n", F.row_number().over(shortest)).where(F.col("_n") <= k + 1)
+    named = materialise(kept.where("_n = 1").select("items", F.monotonically_increasing_id().alias("basket")), "basket-names")
+    members = materialise(kept.join(named, "items").select("basket", F.col("CustomerID").alias("b"), "n2", "items"), "basket-members")
+    askers = materialise(askers.join(named, "items").select("basket", F.col("CustomerID").alias("a"), F.col("n2").alias("n2a")), "basket-askers")
+
+    # the two most popular products: coordinates of the index
+    top = [r[0] for r in owned.select("StockCode", "degree").distinct().orderBy(F.desc("degree"), "StockCode").limit(2).collect()]
+    weight = lambda code, length: F.coalesce(F.get(F.filter("items", lambda i: i["StockCode"] == F.lit(code)), 0)["q"] / length, F.lit(0.0))
+    near = lambda length: [weight(code, length).alias(f"near{i + 1}") for i, code in enumerate([*top, top[-1]][:2])]
+    listed = F.posexplode("items").alias("pos", "i")
+    entries = members.select("b", F.col("n2").alias("n2b"), *near(F.sqrt("n2")), listed)
+    entries = entries.select("b", "n2b", "near1", "near2", "pos", "i.StockCode", "i.q", (F.col("i.q") / F.sqrt("n2b")).alias("x"))
+    entries = materialise(_with_rest(entries, "b"), "popular-entries")
+    asked = named.join(askers.select("basket").distinct(), "basket", "left_semi")
+    length2 = F.aggregate("items", F.lit(0).cast("long"), lambda s, i: s + i["q"] * i["q"])
+    queries = asked.withColumn("length2", length2).select("basket", "length2", *near(F.sqrt("length2")), listed)
+    queries = queries.select("basket", "length2", "near1", "near2", "pos", "i.StockCode", "i.q", (F.col("i.q") / F.sqrt("length2")).alias("x"))
+    queries = materialise(_with_rest(queries, "basket"), "popular-queries")
+
+    first = materialise(_basket_dots(_nearby(members, k).join(asked.select("basket"), "basket", "left_semi"), queries, entries), "popular-nearby")
+    # one of the k + 1 best of a basket may be the asking customer itself
+    own = _kth_key(first, "basket", k + 1).withColumnRenamed("key", "own")
+    joined = _kth_key(known, "a", k).join(askers.select("a", "basket"), "a", "right")
+    joined = joined.groupBy("basket").agg(F.min(F.coalesce("key", F.lit(0.0))).alias("joined"))
+    least = joined.join(own, "basket", "left").select("basket", F.greatest("joined", F.coalesce("own", F.lit(0.0))).alias("key"))
+    bounded = queries.join(least, "basket").withColumn("t", F.sqrt(F.col("key") / F.col("length2"))).where(F.col("t") <= 1 / _SLACK)
+    pairs = _met(bounded, entries)
+    dots = first.unionByName(_basket_dots(pairs, queries, entries)).groupBy("basket", "b", "n2b").agg(F.max("dot").alias("dot"))
+    best = materialise(_best(dots, k + 1, by="basket").drop("rank"), "popular-best")
+    return askers.join(best, "basket").where(F.col("a") != F.col("b")).select("a", "b", "n2a", "n2b", "dot")
 
 
 def nearest_customers(
@@ -226,7 +219,7 @@ def nearest_customers(
     buyers = entries.groupBy("StockCode").agg(F.count(F.lit(1)).alias("degree"))
     tagged = materialise(
         entries.join(lengths, "CustomerID").join(buyers, "StockCode")
-        .withColumn("popular", F.col("degree") > max_pair_degree).drop("degree"),
+        .withColumn("popular", F.col("degree") > max_pair_degree),
         "matrix",
     )
     asking = tagged if customers is None else tagged.join(customers.select("CustomerID").distinct(), "CustomerID", "left_semi")
@@ -239,7 +232,8 @@ def nearest_customers(
     if customers is None:
         pairs = _mirrored(pairs)
     if has_popular:
-        only = _popular_only(popular if customers is None else popular_asking, popular, k)
+        pairs = materialise(pairs, "rare-pairs")
+        only = _popular_only(popular if customers is None else popular_asking, popular, pairs, k)
         # a pair found both ways has its full dot product from the join, which is the larger one
         pairs = pairs.unionByName(only).groupBy("a", "b", "n2a", "n2b").agg(F.max("dot").alias("dot"))
     return _best(pairs, k).select(

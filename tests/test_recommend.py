@@ -49,7 +49,7 @@ def _as_lists(df):
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("degree", [0, 8, 20, 1000])
 def test_nearest_customers_equal_brute_force(spark, monkeypatch, seed, degree):
-    monkeypatch.setattr(similarity, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(similarity, "CELL_ROWS", 5)
     counts = _random_counts(seed)
     got = _as_lists(similarity.nearest_customers(_matrix(spark, counts), k=5, max_pair_degree=degree))
     expected = {a: rows for a, rows in _nearest(counts, 5).items() if rows}
