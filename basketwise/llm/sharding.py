@@ -6,7 +6,7 @@ and again until the bytes below it are as near to the wanted number as the toler
 
 Groups of equal texts stay in one shard. Those with more than ``tolerance`` of a shard's bytes (so at most
 ``shards / tolerance`` of them) are placed first, the largest to the emptiest shard; the ranges fill up the rest. Only a
-group larger than a whole shard is cut: its documents are ordered by their id like single texts.
+group larger than a whole shard is cut: its rows are numbered, and ordered by a hash of their number like single texts.
 """
 
 from __future__ import annotations
@@ -119,7 +119,14 @@ def shard_by_bytes(
             big[r["__key"]] = shard
             loads[shard] += r["bytes"]
     cut = F.col("__key").isin(giant) if giant else F.lit(False)
-    place = F.when(cut, F.xxhash64("__id", "__key")).otherwise(F.col("__key"))
+    if large:
+        # ids can be missing or repeated, so rows of large groups get a number, stored with them: a retried task reads the same
+        listed = F.col("__key").isin([r["__key"] for r in large])
+        numbered = materialise(keyed.where(listed).withColumn("__n", F.monotonically_increasing_id()), "shard-large")
+        keyed = keyed.where(~listed).withColumn("__n", F.lit(0).cast("long")).unionByName(numbered)
+    else:
+        keyed = keyed.withColumn("__n", F.lit(0).cast("long"))
+    place = F.when(cut, F.xxhash64("__n", "__key")).otherwise(F.col("__key"))
     pool = groups.where(~F.col("__key").isin([r["__key"] for r in large])) if large else groups
     pool = pool.select(F.col("__key").alias("place"), "bytes")
     if giant:
@@ -131,7 +138,8 @@ def shard_by_bytes(
 
     placed = keyed.select("*", place.alias("__place"), _shard_of(place, splitters, big, F.col("__key")).alias("shard"))
     parts = max(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    moved = placed.repartitionByRange(parts, "shard", "__place", "__id").sortWithinPartitions("shard", "__place", "__id")
+    order = ["shard", "__place", "__n", "__id"]
+    moved = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     moved = materialise(
         moved.select(*[F.col(f"`{c}`") for c in kept], "size", "text_crc32", "shard", F.monotonically_increasing_id().alias("__at")),
         "shard-rows",
