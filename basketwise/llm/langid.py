@@ -25,7 +25,7 @@ from basketwise.session import materialise
 UNIT = 24  # longer words are cut after so many bytes
 PIECE = 8  # longest piece in bytes
 _SMOOTH = 0.01
-_SLICE = 1 << 16
+_SLICE = 1 << 12  # words whose forward sums a task holds at once
 
 
 class Pieces:

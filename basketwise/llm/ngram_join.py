@@ -32,9 +32,9 @@ from basketwise.session import materialise
 _SEEDS = [0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 _OFTEN = 3  # a gram in so many sets of one chunk is counted as frequent
 _FREQUENT = 1 << 16  # frequent grams that are told apart in the order of grams
-_GRAMS = 4_000_000  # per bucket
+_GRAMS = 1_000_000  # per bucket
 _BLOCK = 512
-_META = "doc_id long, n_shingles long, digest binary, sid long, minima array<long>, bits binary, frequent binary"
+_META = "doc_id long, text_key long, n_shingles long, digest binary, sid long, minima array<long>, bits binary, frequent binary"
 _GRAM = np.dtype([("key", "<u8"), ("sets", "<u4")])
 
 
@@ -72,13 +72,13 @@ def _differ(x: bytes, y: bytes) -> int:
 def _measure(docs: DataFrame, k: int) -> DataFrame:
     """Per document the size, identity and hash minima of its set; besides, rows with the frequent grams of a chunk."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()),
+        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("sid", pa.int64()),
          ("minima", pa.list_(pa.int64())), ("bits", pa.binary()), ("frequent", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids, keys = batch.column(0), batch.column(2)
             for low, high, data, offsets in text_chunks(batch.column(1)):
                 sizes, digests, minima, bits, distinct = [], [], [], [], {}
                 for grams in _sets(data, offsets, k):
@@ -91,7 +91,7 @@ def _measure(docs: DataFrame, k: int) -> DataFrame:
                 often = count >= _OFTEN
                 packed = np.rec.fromarrays([seen[often], count[often].astype(np.int64)]).tobytes()
                 sid = [None if d is None else int.from_bytes(d[:8], "little", signed=True) for d in digests]
-                rows = [ids.slice(low, high - low).to_pylist() + [None], sizes + [None], digests + [None], sid + [None],
+                rows = [*(c.slice(low, high - low).to_pylist() + [None] for c in (ids, keys)), sizes + [None], digests + [None], sid + [None],
                         minima + [None], bits + [None], [None] * len(sizes) + [packed]]
                 yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, schema)], schema=schema)
 
@@ -287,16 +287,18 @@ def _candidates(lists: DataFrame, percent: int) -> DataFrame:
     return lists.mapInArrow(run, "a long, b long").distinct()
 
 
-def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: str = "doc_id", text: str = "text", text_key: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles (distinct ``k``-word grams) and component_id.
 
+    ``text_key`` adds the xxhash64 of the text, which tells documents of one id apart.
+
     Words are runs of other than ASCII white space, lower-cased in A-Z. A text with fewer than ``k`` words is one gram; one
     without words, or null, has none and is linked with nothing. Two sets link when their overlap is at least ``percent``
     of their union. The component is the smallest id that links reach. Rows that repeat an id are one document in links; a
     row without id takes the component of an equal set, if any has an id. Other columns are ignored.
     """
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    measured = materialise(_measure(docs, k), "ngram-sets")
+    measured = materialise(_measure(docs.withColumn("text_key", F.xxhash64("text")), k), "ngram-sets")
     meta = measured.where("frequent is null")
     sets = meta.where("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sid").alias("sid"),
@@ -355,4 +357,5 @@ def link_documents(docs: DataFrame, *, k: int = 5, percent: int = 75, doc_id: st
     final = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = sets.join(final, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     named = materialise(named, "ngram-components")
-    return meta.join(named, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    keys = ["text_key"] if text_key else []
+    return meta.join(named, "digest", "left").select("doc_id", *keys, "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
