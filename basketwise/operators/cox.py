@@ -2,7 +2,7 @@
 
 Every Newton step is one aggregation over all customers. It leaves one row per distinct duration;
 durations are whole days, so the running sums over this table are bounded by the days the data spans.
-One row reaches the driver: the likelihood, its gradient and its Hessian.
+Sums over tied events have closed forms. One row reaches the driver: the likelihood, its gradient and its Hessian.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
+from math import log, pi
 from statistics import NormalDist
 
 import numpy as np
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from basketwise.session import materialise
 
 COVARIATES = ["total_orders", "total_spend", "avg_order_value", "unique_products", "purchase_frequency"]
-TIE_CHUNK = 10_000
+FEW_TIES = 32
+_TERMS = 48  # 2 ** -48 is what the series leaves out at most, relative to the first term
 
 
 def cox_features(features: DataFrame, covariates: Sequence[str] = COVARIATES) -> DataFrame:
@@ -44,29 +46,73 @@ class CoxModel:
     iterations: int
 
 
-def _tie_sums(times: DataFrame) -> DataFrame:
-    """Sums over the d tied events of a time, with R and T the hazards at risk and of the events.
+def tie_sums(times: DataFrame) -> DataFrame:
+    """``times`` with the sums over the d tied events of a time, with R and T the hazards at risk and of the events.
 
-    The l-th of them is at risk against R - (l/d) T. Times with very many events are cut into chunks,
-    so that no task gets them all.
+    The l-th of them (from 0) is at risk against left = R - (l/d) T. The sums are log_left of ln(left), i1 and i2 of 1 / left and
+    1 / left^2, f1 and f2 of (l/d) / left and (l/d) / left^2, g2 of (l/d)^2 / left^2. No row is made per event. With
+    u = T / R: up to ``FEW_TIES`` events are added up one by one; more are closed forms, of power sums of l/d in a series by u up to
+    one half, and above as differences of log-gamma, digamma and trigamma functions.
     """
-    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("d") - 1, F.lit(TIE_CHUNK).cast("long")))
-    chunks = times.select("duration", "d", "R", "T", chunk.alias("start")).repartition("duration", "start")
-    last = F.least(F.col("start") + TIE_CHUNK, F.col("d")) - 1
-    part = F.col("l") / F.col("d")
-    left = F.col("R") - part * F.col("T")
-    return (
-        chunks.select("duration", "d", "R", "T", F.explode(F.sequence("start", last)).alias("l"))
-        .groupBy("duration")
-        .agg(
-            F.sum(F.ln(left)).alias("log_left"),
-            F.sum(1 / left).alias("i1"),
-            F.sum(part / left).alias("f1"),
-            F.sum(1 / (left * left)).alias("i2"),
-            F.sum(part / (left * left)).alias("f2"),
-            F.sum(part * part / (left * left)).alias("g2"),
-        )
-    )
+    sums = ["log", "s01", "s11", "s02", "s12", "s22"]  # of ln(1 - u l/d) and (l/d)^m / (1 - u l/d)^k as s{m}{k}
+
+    def fold(steps: str, terms: dict[str, str], with_: str) -> str:
+        start = ", ".join(f"'{name}', 0D" for name in sums)
+        more = ", ".join(f"'{name}', s.{name} + {terms[name]}" for name in sums)
+        return f"aggregate({steps}, named_struct({start}), (s, {with_}) -> named_struct({more}))"
+
+    left = "(1 - u * l / d)"
+    one_by_one = {"log": f"log1p(-u * l / d)", "s01": f"1 / {left}", "s11": f"l / d / {left}"}
+    one_by_one |= {"s02": f"1 / ({left} * {left})", "s12": f"l / d / ({left} * {left})", "s22": f"l / d * l / d / ({left} * {left})"}
+    few = fold("sequence(0L, d - 1)", one_by_one, "l")
+
+    # sums of (l/d)^q: Bernoulli's formula, whose k-th term needs q > 2 k - 1
+    power = "q.d / (q.i + 1) - 0.5D"
+    falling = "q.i"
+    for k, divisor in enumerate([12, -720, 30240, -1209600, 47900160], start=1):
+        power += f" + if(q.i > {2 * k - 1}, {falling} / ({divisor}D * pow(q.d, {2 * k - 1})), 0D)"
+        falling += f" * (q.i - {2 * k - 1}) * (q.i - {2 * k})"
+    powers = f"transform(sequence(0, {_TERMS + 2}), i -> named_struct('i', CAST(i AS DOUBLE), 'd', CAST(d AS DOUBLE)))"
+    powers = f"transform({powers}, q -> if(q.i = 0, q.d, {power}))"
+    series = {"log": "-if(j = 0, 0D, pow(u, j) / j * p[j])", "s01": "pow(u, j) * p[j]", "s11": "pow(u, j) * p[j + 1]"}
+    series |= {"s02": "(j + 1) * pow(u, j) * p[j]", "s12": "(j + 1) * pow(u, j) * p[j + 1]", "s22": "(j + 1) * pow(u, j) * p[j + 2]"}
+    many = fold(f"sequence(0, {_TERMS})", series, "j")
+
+    # sums of ln(a - l), 1 / (a - l) and 1 / (a - l)^2 with a = d / u, from functions at a + 1 and a - d + 1 = low
+    near = {
+        "log": "d * ln(u / d) + g0", "s01": "d / u * g1", "s11": "(a * g1 - d) / u", "s02": "d / u * d / u * g2",
+        "s12": "d / u * (a * g2 - g1) / u", "s22": "(a * a * g2 - 2 * a * g1 + d) / u / u",
+    }
+    close = "named_struct(" + ", ".join(f"'{name}', {near[name]}" for name in sums) + ")"
+
+    staged = times.selectExpr("*", "T / R AS u", "d / (T / R) AS a", "1 + d * (greatest(R - T, 0D) / T) AS low")
+    staged = staged.selectExpr("*", f"CASE WHEN d > {FEW_TIES} AND u <= 0.5D THEN {powers} END AS p", *[
+        f"CASE WHEN d > {FEW_TIES} AND u > 0.5D THEN {_polygamma(k, 'a + 1')} - {_polygamma(k, 'low')} END AS g{k}" for k in range(3)
+    ])
+    staged = staged.withColumn("g2", -F.col("g2"))
+    staged = staged.selectExpr("*", f"CASE WHEN d <= {FEW_TIES} THEN {few} WHEN u <= 0.5D THEN {many} ELSE {close} END AS s")
+    return staged.selectExpr(
+        *[f"`{c}`" for c in times.columns], "d * ln(R) + s.log AS log_left", "s.s01 / R AS i1", "s.s11 / R AS f1", "s.s02 / R / R AS i2", "s.s12 / R / R AS f2",
+        "s.s22 / R / R AS g2",
+    )
+
+
+def _polygamma(order: int, x: str) -> str:
+    """Log-gamma (0), digamma (1) or trigamma (2) of a number of at least about 1: asymptotic series after ten upward steps."""
+    y = f"({x} + 10)"
+    steps = {0: f"ln({x} + i)", 1: f"1 / ({x} + i)", 2: f"-1 / (({x} + i) * ({x} + i))"}[order]
+    # fixed values: Bernoulli numbers in the three series
+    if order == 0:
+        head = f"({y} - 0.5D) * ln({y}) - {y} + {0.5 * log(2 * pi)!r}D"
+        tail = [(1 / 12, 1), (-1 / 360, 3), (1 / 1260, 5), (-1 / 1680, 7), (1 / 1188, 9)]
+    elif order == 1:
+        head = f"ln({y}) - 0.5D / {y}"
+        tail = [(-1 / 12, 2), (1 / 120, 4), (-1 / 252, 6), (1 / 240, 8), (-1 / 132, 10)]
+    else:
+        head = f"1 / {y} + 0.5D / ({y} * {y})"
+        tail = [(1 / 6, 3), (-1 / 30, 5), (1 / 42, 7), (-1 / 30, 9), (5 / 66, 11)]
+    series = "".join(f" + {c!r}D / pow({y}, {n})" for c, n in tail)
+    return f"({head}{series} - aggregate(sequence(0, 9), 0D, (s, i) -> s + {steps}))"
 
 
 def _per_time(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
@@ -103,7 +149,7 @@ def derivatives_row(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
     ``rows``: duration, churned, x0 to x{p-1}.
     """
     table = _risk_table(rows, p, beta)
-    joined = table.join(_tie_sums(table.where("d > 0")), "duration", "left")
+    joined = tie_sums(table.where("d > 0")).unionByName(table.where("d = 0"), allowMissingColumns=True)
     sums = ["sum(e_eta) - coalesce(sum(log_left), 0D) AS likelihood"]
     for j in range(p):
         sums.append(f"sum(e_{j}) - coalesce(sum(s_{j} * i1 - eh_{j} * f1), 0D) AS g_{j}")

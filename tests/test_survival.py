@@ -111,7 +111,7 @@ def test_cox_equals_numpy(spark, monkeypatch, penalty, scale):
         }
     )
     # many ties in several chunks
-    monkeypatch.setattr(cox, "TIE_CHUNK", 4)
+    monkeypatch.setattr(cox, "FEW_TIES", 4)
     model = cox.fit_cox(spark.createDataFrame(pdf), ["a", "b"], penalty=penalty, penalty_scale=scale)
     coef, errors = _numpy_cox(pdf, ["a", "b"], penalty * (n if scale == "per_row" else 1))
     assert model.coef == pytest.approx(coef, abs=1e-6)
@@ -128,3 +128,17 @@ def test_cox_features_drop_incomplete_rows(spark):
     rows = [(5, 1, 1.0), (6, 0, None), (7, 0, inf), (8, 1, float("nan"))]
     df = spark.createDataFrame(rows, "duration long, churned int, a double")
     assert [tuple(r) for r in cox.cox_features(df, ["a"]).collect()] == [(5, 1, log(2.0))]
+
+
+def test_tie_sums_equal_sums_over_all_events(spark):
+    rows = []
+    for d in (1, 2, 31, 32, 33, 40, 100, 1000, 12345, 1_000_000):
+        for u in (1e-9, 1e-4, 0.03, 0.3, 0.5, 0.5000001, 0.7, 0.99, 1 - 1e-9, 1.0):
+            rows.append((d, 7.5 * d, 7.5 * d * u))
+    got = {(r["d"], r["T"]): r for r in cox.tie_sums(spark.createDataFrame(rows, "d long, R double, T double")).collect()}
+    for d, big, small in rows:
+        part = np.arange(d, dtype=np.longdouble) / d
+        left = np.longdouble(big) - part * np.longdouble(small)
+        expected = {"log_left": np.log(left), "i1": 1 / left, "f1": part / left, "i2": left**-2, "f2": part / left**2, "g2": part**2 / left**2}
+        for name, terms in expected.items():
+            assert got[d, small][name] == pytest.approx(float(terms.sum()), rel=1e-10, abs=1e-300), (d, small / big, name)
