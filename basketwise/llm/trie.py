@@ -152,55 +152,64 @@ def _look_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     return salted.drop("__parts").join(spread.drop("__parts"), [key, "__salt"], "left").drop("__salt")
 
 
+def _sent(rows: DataFrame, messages: list[dict[str, Column]], types: dict[str, str]) -> DataFrame:
+    """Every row's messages (columns they lack are null) as rows of their own; those without ``id`` are not sent."""
+    full = [F.struct(*[m.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()]) for m in messages]
+    return rows.select(F.inline(F.array(*full))).where("id is not null")
+
+
 def subtree_sums(tree: DataFrame, values: list[str]) -> DataFrame:
     """(id, *values): the sums of each value over every node's subtree, its top included.
 
     Args:
-        tree: ``id`` (any orderable type), ``parent`` (null at a top), ``depth`` (any whole number that differs from the parent's; it
-            only steers which nodes of a chain go first), and the values (long). Several trees are fine.
+        tree: ``id`` (long), ``parent`` (null at a top), ``depth`` (at least 1 below a top; it only steers which nodes of a chain go first), and
+            the values (long). Several trees are fine.
 
     A round is three groupings of messages that nodes send to themselves, their parent and their child, so a node with
     very many children receives partial sums. Each is written as a table; the driver sees one flag per round.
     """
-    add = lambda t: [F.sum(v).alias(v) for v in values]
-    none = [F.lit(None).cast("long").alias(v) for v in values]
-    state, rounds = tree.select("id", "parent", "depth", *values), []
-    id_type = tree.schema["id"].dataType
-    no_id = F.lit(None).cast(id_type)
+    own = {"id": "long", "parent": "long", "depth": "int"} | dict.fromkeys(values, "long")
+    me = {c: F.col(c) for c in own}
+    given = {v: F.col(v) for v in values}
+    merged = [F.max("parent").alias("parent"), F.max("depth").alias("depth"), *[F.sum(v).alias(v) for v in values]]
+    state, rounds = tree.select(*own), []
     while True:
         # how many children, and which, if one
-        up = state.where("parent is not null").select(F.col("parent").alias("id"), no_id.alias("parent"), F.lit(None).cast("int").alias("depth"), *none, F.col("id").alias("child"))
-        both = state.withColumn("child", no_id).unionByName(up)
-        counted = both.groupBy("id").agg(F.max("parent").alias("parent"), F.max("depth").alias("depth"), *add(values), F.count("child").alias("n"), F.min("child").alias("child"))
-        # a node with one child tells its neighbours its priority: in a fresh chain every second node is the least
+        asked = _sent(state, [me, {"id": F.col("parent"), "child": F.col("id")}], own | {"child": "long"})
+        counted = asked.groupBy("id").agg(*merged, F.count("child").alias("n"), F.min("child").alias("child"))
+        # a node with one child tells its neighbours its rank: in a fresh chain every second node has the least; equal ranks wait
+        zeros = F.bit_count(F.col("depth").bitwiseAND(-F.col("depth")) - 1).cast("long")
+        rank = F.shiftleft(zeros, 57) + F.shiftrightunsigned(F.xxhash64("id", F.lit(len(rounds))), 7)
         unary = (F.col("n") == 1) & F.col("parent").isNotNull()
-        rank = F.struct(F.col("depth").bitwiseAND(-F.col("depth")).alias("d"), F.xxhash64("id").alias("h"), F.col("id").alias("id"))
         ranked = counted.withColumn("rank", F.when(unary, rank))
-        bare = [c for c in ranked.columns if c != "id"]
-        blank = [F.lit(None).cast(ranked.schema[c].dataType).alias(c) for c in bare]
-        tell = lambda rows, to, rival, leaf: rows.select(F.col(to).alias("id"), *blank, rival.alias("rival"), F.lit(leaf).alias("leaf"))
-        no_rank = F.lit(None).cast(ranked.schema["rank"].dataType)
-        heard = (
-            ranked.withColumn("rival", no_rank).withColumn("leaf", F.lit(False))
-            .unionByName(tell(ranked.where("rank is not null"), "parent", F.col("rank"), False))
-            .unionByName(tell(ranked.where("rank is not null"), "child", F.col("rank"), False))
-            .unionByName(tell(ranked.where("n = 0 and parent is not null"), "parent", no_rank, True))
-        )
-        told = heard.groupBy("id").agg(*[F.max(c).alias(c) for c in bare], F.min("rival").alias("rival"), F.max("leaf").alias("leaf"))
+        told = _sent(
+            ranked,
+            [
+                me | {"n": F.col("n"), "child": F.col("child"), "rank": F.col("rank"), "leaf": F.lit(0)},
+                {"id": F.when(unary, F.col("parent")), "rival": F.col("rank")},
+                {"id": F.when(unary, F.col("child")), "rival": F.col("rank")},
+                {"id": F.when(F.col("n") == 0, F.col("parent")), "leaf": F.lit(1)},
+            ],
+            own | {"n": "long", "child": "long", "rank": "long", "rival": "long", "leaf": "int"},
+        ).groupBy("id").agg(*merged, *[F.max(c).alias(c) for c in ("n", "child", "rank", "leaf")], F.min("rival").alias("rival"))
         # a single child that is a leaf is raked now, so its parent waits
-        taken = F.col("rank").isNotNull() & ~F.col("leaf") & (F.col("rival").isNull() | (F.col("rank") < F.col("rival")))
-        done = told.select("id", "parent", "depth", *values, "n", "child", F.when(F.col("n") == 0, "rake").when(taken, "compress").otherwise("stay").alias("step"))
-        done = materialise(done, "trie-round")
+        taken = F.col("rank").isNotNull() & (F.col("leaf") == 0) & (F.col("rival").isNull() | (F.col("rank") < F.col("rival")))
+        step = F.when(F.col("n") == 0, "rake").when(taken, "compress").otherwise("stay").alias("step")
+        done = materialise(told.select(*own, "child", step), "trie-round")
         rounds.append(done)
         if done.where("step <> 'rake'").isEmpty():
             break
-        gone = done.where("step <> 'stay' and parent is not null")
-        state = (
-            done.where("step = 'stay'").select("id", "parent", "depth", *values, no_id.alias("moved"))
-            .unionByName(gone.select(F.col("parent").alias("id"), no_id.alias("parent"), F.lit(None).cast("int").alias("depth"), *values, no_id.alias("moved")))
-            .unionByName(done.where("step = 'compress'").select(F.col("child").alias("id"), no_id.alias("parent"), F.lit(None).cast("int").alias("depth"), *none, F.col("parent").alias("moved")))
-            .groupBy("id").agg(F.coalesce(F.max("moved"), F.max("parent")).alias("parent"), F.max("depth").alias("depth"), *add(values))
-        )
+        stays, moves = F.col("step") == "stay", F.col("step") == "compress"
+        state = _sent(
+            done,
+            [
+                me | {"id": F.when(stays, F.col("id"))},
+                given | {"id": F.when(~stays, F.col("parent"))},
+                {"id": F.when(moves, F.col("child")), "moved": F.col("parent")},
+            ],
+            own | {"moved": "long"},
+        ).groupBy("id").agg(*merged, F.max("moved").alias("moved"))
+        state = state.select("id", F.coalesce("moved", "parent").alias("parent"), "depth", *values)
     totals = None  # of the nodes that later rounds took out; a compressed node's child is one of them
     for done in reversed(rounds):
         now = done.where("step = 'rake'").select("id", *values)
@@ -228,22 +237,16 @@ def prefix_trie(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     nodes = rows.groupBy("key").agg(
         F.min("conv_id").alias("conv_id"), F.min("depth").alias("depth"), F.max("parent").alias("parent"), F.count(F.lit(1)).alias("n_convs"), F.max("words").alias("words")
     )
-    nodes = materialise(nodes, "trie-nodes")
-    upper = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    nodes = materialise(_look_up(nodes, upper, "parent").drop("parent"), "trie-parents")
-    children = nodes.where("depth > 0").groupBy(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth")).agg(F.count(F.lit(1)).alias("n_children"))
-    # the smallest member and the depth name a node as well as its key does
-    nodes = nodes.join(children, ["conv_id", "depth"], "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    nodes = materialise(nodes.join(_member_hashes(rows.where("ends").select("key", "conv_id")), "key", "left"), "trie-nodes")
-    tree = nodes.select(
-        F.struct("conv_id", "depth").alias("id"),
-        F.when(F.col("depth") > 0, F.struct(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth"))).alias("parent"),
-        "depth",
-        (F.col("n_children") == 0).cast("long").alias("n_leaves"),
-        ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"),
-    )
-    sums = subtree_sums(tree, ["n_leaves", "saved_tokens"]).select("id.conv_id", "id.depth", "n_leaves", "saved_tokens")
-    return nodes.join(sums, ["conv_id", "depth"]).select(
+    nodes = materialise(nodes.withColumn("id", F.monotonically_increasing_id()), "trie-nodes")
+    upper = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("id").alias("up"))
+    placed = materialise(_look_up(nodes, upper, "parent").drop("parent"), "trie-parents")
+    children = placed.where("up is not null").groupBy(F.col("up").alias("id")).agg(F.count(F.lit(1)).alias("n_children"))
+    placed = placed.join(children, "id", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
+    saved = ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens")
+    tree = placed.select("id", F.col("up").alias("parent"), "depth", (F.col("n_children") == 0).cast("long").alias("n_leaves"), saved)
+    sums = subtree_sums(tree, ["n_leaves", "saved_tokens"])
+    hashes = _member_hashes(rows.where("ends").select("key", "conv_id"))
+    return placed.join(sums, "id").join(hashes, "key", "left").select(
         "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
     )
