@@ -1,15 +1,20 @@
-"""K-Means on scaled recency, frequency and spend, with business labels."""
+"""K-Means on scaled recency, frequency and spend, with business labels.
+
+All starts, and all numbers of clusters of an elbow scan, run side by side: every step is one pass over the customers, which
+leaves one row per start and centre. Starts are seeded by k-means||: in a few rounds each start takes points that are
+likely far from the ones it has, and picks its centres among these by weight. Draws are hashes of the customer id
+and sums are whole numbers, so neither partitions nor their order change the clusters.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
-from math import ceil
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketwise.functions.numeric import exact_mean, round_even
@@ -18,36 +23,128 @@ from basketwise.session import materialise
 
 SEED = 42
 STARTS = 10
-PARALLEL_FITS = 8
-ROWS_PER_PARTITION = 100_000
+SEED_ROUNDS = 3
+OVERSAMPLE = 2  # points per round and wanted centre
+TOLERANCE = 1e-4  # squared way of all centres at which a start has settled
+UNIT = 1e9  # coordinates are summed as whole parts of 1 / UNIT
+AXES = [f"{m}_z" for m in METRICS]
 
 
-def _points(metrics: DataFrame) -> DataFrame:
-    """Scaled points in a layout that depends on the data alone: K-Means picks its first centres by partition."""
-    scaled = materialise(rfm_scaled(metrics), "rfm-scaled")
-    parts = ceil(scaled.count() / ROWS_PER_PARTITION) or 1
-    laid_out = scaled.repartition(parts, "CustomerID").sortWithinPartitions("CustomerID")
-    columns = [f"{m}_z" for m in METRICS]
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(laid_out).select("CustomerID", "features")
+@dataclass
+class Clustering:
+    """The best start for a number of clusters: its centres in order of their coordinates, and its inertia."""
+
+    k: int
+    centres: np.ndarray
+    inertia: float
+
 
+def _points(metrics: DataFrame) -> DataFrame:
+    return rfm_scaled(metrics).where(" AND ".join(f"{a} IS NOT NULL" for a in AXES))
 
-def _best_fit(points: DataFrame, k: int, starts: int, max_iter: int) -> KMeansModel:
-    def fit(seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="Cluster").fit(points)
 
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        models = list(pool.map(fit, range(SEED, SEED + starts)))
-    return min(models, key=lambda m: m.summary.trainingCost)
+def _against(points: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """``points`` once per start, with the nearest of its centres (``at``, the first of equals) and the squared distance to it."""
+    listed = ", ".join(
+        f"named_struct('start', {start}, 'c', array({', '.join('array(' + ', '.join(f'{float(x)!r}D' for x in c) + ')' for c in rows)}))"
+        for start, rows in centres.items()
+    )
+    distance = " + ".join(f"(c[{i}] - {axis}) * (c[{i}] - {axis})" for i, axis in enumerate(AXES))
+    each = points.select("CustomerID", *AXES, F.expr(f"inline(array({listed}))"))
+    near = F.expr(f"array_min(transform(c, (c, i) -> named_struct('d', {distance}, 'at', i)))")
+    return each.select("CustomerID", *AXES, "start", near.alias("near")).select("CustomerID", *AXES, "start", F.col("near.at").alias("at"), F.col("near.d").alias("d"))
+
+
+def _whole(value: Column) -> Column:
+    """Exact sum, whatever the order of rows."""
+    return F.sum(F.rint(value * UNIT).cast("decimal(20,0)"))
+
+
+def _seeds(points: DataFrame, runs: list[tuple[int, int]]) -> dict[int, np.ndarray]:
+    """First centres of each run (k, seed)."""
+    first = points.select("CustomerID", *AXES, F.explode(F.array(*[F.lit(s) for s in sorted({s for _, s in runs})])).alias("seed"))
+    order = Window.partitionBy("seed").orderBy(F.xxhash64("CustomerID", "seed"), "CustomerID")
+    found = first.withColumn("n", F.row_number().over(order)).where("n = 1").collect()
+    taken = {s: [[r[a] for a in AXES] for r in found if r["seed"] == seed] for s, (_, seed) in enumerate(runs)}
+    if not found:
+        return {}
+    wanted = F.expr("CASE start " + " ".join(f"WHEN {s} THEN {OVERSAMPLE * k}" for s, (k, _) in enumerate(runs)) + " END")
+    for step in range(SEED_ROUNDS):
+        # the smallest -ln(u) / d are a draw without replacement, with chances in proportion to d
+        away = _against(points, {s: np.array(c) for s, c in taken.items()}).where("d > 0")
+        u = (F.shiftrightunsigned(F.xxhash64("CustomerID", F.col("start") + 1000 * step + SEED), 11) + 1) / float(2**53 + 1)
+        order = Window.partitionBy("start").orderBy(-F.ln(u) / F.col("d"), "CustomerID")
+        drawn = away.withColumn("n", F.row_number().over(order)).where((F.col("n") <= OVERSAMPLE * max(k for k, _ in runs)) & (F.col("n") <= wanted))
+        for r in drawn.orderBy("start", "n").collect():  # OVERSAMPLE * k per start
+            taken[r["start"]].append([r[a] for a in AXES])
+    held = {s: np.unique(np.array(c), axis=0) for s, c in taken.items()}
+    weights = {(r["start"], r["at"]): r["n"] for r in _against(points, held).groupBy("start", "at").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {s: _spread(held[s], np.array([weights.get((s, i), 0) for i in range(len(held[s]))], float), k, seed) for s, (k, seed) in enumerate(runs)}
+
+
+def _spread(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k of the candidates, each drawn in proportion to its weight times the squared distance from those drawn before."""
+    rng = np.random.default_rng(seed)
+    chance, chosen = weights.copy(), []
+    while len(chosen) < min(k, len(candidates)) and chance.sum() > 0:
+        chosen.append(int(np.searchsorted(np.cumsum(chance) / chance.sum(), rng.random(), side="right")))
+        apart = ((candidates[:, None] - candidates[chosen][None]) ** 2).sum(axis=2).min(axis=1)
+        chance = weights * apart
+    return candidates[chosen]
+
+
+def _settled(points: DataFrame, centres: dict[int, np.ndarray], tolerance: float, max_iter: int) -> dict[int, np.ndarray]:
+    """Centres moved to the means of their points until each start's moves stay within the tolerance, one pass per step."""
+    centres, moving = dict(centres), set(centres)
+    for _ in range(max_iter):
+        if not moving:
+            break
+        near = _against(points, {s: centres[s] for s in moving})
+        sums = near.groupBy("start", "at").agg(F.count(F.lit(1)).alias("n"), *[_whole(F.col(a)).alias(a) for a in AXES])
+        moved = {s: centres[s].copy() for s in moving}
+        for r in sums.collect():
+            moved[r["start"]][r["at"]] = [float(r[a]) / UNIT / r["n"] for a in AXES]
+        for s, rows in moved.items():
+            if ((rows - centres[s]) ** 2).sum() <= tolerance:
+                moving.discard(s)
+            centres[s] = rows
+    return centres
+
+
+def _inertia(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
+    sums = _against(points, centres).groupBy("start").agg(_whole(F.col("d")).alias("d"))
+    return {r["start"]: float(r["d"]) / UNIT for r in sums.collect()} if centres else {}
+
+
+def fit(points: DataFrame, runs: list[tuple[int, int]], max_iter: int) -> list[Clustering]:
+    """The best start of each number of clusters among ``runs`` (k, seed); fewer centres where points are fewer.
+
+    Starts are compared once they move little; the best of each k goes on until its centres stay. The driver holds the
+    centres alone. A centre that loses all its points stays where it is.
+    """
+    rough = _settled(points, _seeds(points, runs), TOLERANCE, max_iter)
+    cost = _inertia(points, rough)
+    best: dict[int, int] = {}
+    for s, (k, _) in enumerate(runs):
+        if s in cost and (k not in best or cost[s] < cost[best[k]]):
+            best[k] = s
+    final = _settled(points, {k: rough[s] for k, s in best.items()}, 0.0, max_iter)
+    final = {k: rows[np.lexsort(rows.T[::-1])] for k, rows in final.items()}
+    cost = _inertia(points, final)
+    return [Clustering(k, rows, cost[k]) for k, rows in final.items()]
+
+
+def _assigned(points: DataFrame, found: list[Clustering]) -> DataFrame:
+    """CustomerID, coordinates and Cluster: the place of the nearest centre."""
+    near = _against(points, {0: found[0].centres}) if found else points.withColumn("at", F.lit(0))
+    return near.withColumn("Cluster", F.col("at").cast("int")).select("CustomerID", *AXES, "Cluster")
 
 
 def kmeans_clusters(metrics: DataFrame, k: int = 4, starts: int = STARTS, max_iter: int = 300) -> DataFrame:
-    """Cluster number per customer from the best of several starts."""
-    points = _points(metrics).persist()
-    try:
-        model = _best_fit(points, k, starts, max_iter)
-        return materialise(model.transform(points).select("CustomerID", "Cluster"), "clusters")
-    finally:
-        points.unpersist()
+    """Cluster number per customer from the best of several starts. Clusters are numbered by the coordinates of their centres."""
+    points = materialise(_points(metrics), "rfm-scaled")
+    found = fit(points, [(k, SEED + i) for i in range(starts)], max_iter)
+    return materialise(_assigned(points, found).select("CustomerID", "Cluster"), "clusters")
 
 
 def kmeans_elbow(
@@ -57,18 +154,33 @@ def kmeans_elbow(
     max_iter: int = 300,
 ) -> DataFrame:
     """Inertia and silhouette (squared Euclidean) for several numbers of clusters."""
-    points = _points(metrics).persist()
+    points = materialise(_points(metrics), "rfm-scaled")
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
+    assemble = VectorAssembler(inputCols=AXES, outputCol="features")
     rows = []
-    try:
-        for k in ks:
-            model = _best_fit(points, k, starts, max_iter)
-            rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(points)))))
-    finally:
-        points.unpersist()
+    for c in fit(points, [(k, SEED + i) for k in ks for i in range(starts)], max_iter):
+        rows.append((c.k, c.inertia, float(evaluator.evaluate(assemble.transform(_assigned(points, [c]))))))
     return metrics.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
+def clustering_check(metrics: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One row: customers, clusters, misplaced (customers nearer to another cluster's mean) and whether inertia is that of the means.
+
+    A clustering that K-Means can improve has misplaced customers. Nearer means by over a millionth of a deviation.
+    """
+    placed = materialise(_points(metrics).join(clusters, "CustomerID"), "clusters-placed")
+    means = placed.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"), *[(_whole(F.col(a)).cast("double") / UNIT / F.count(F.lit(1))).alias(a) for a in AXES])
+    listed = means.orderBy("Cluster").collect()  # a row per cluster
+    if not listed:
+        return placed.agg(F.count(F.lit(1)).alias("customers"), F.count(F.lit(1)).alias("clusters"), F.count(F.lit(1)).alias("misplaced"))
+    near = _against(placed, {0: np.array([[r[a] for a in AXES] for r in listed])}).select("CustomerID", "d")
+    own = {f"own_{i}": F.expr("CASE Cluster " + " ".join(f"WHEN {r['Cluster']} THEN {r[a]!r}D" for r in listed) + " END") for i, a in enumerate(AXES)}
+    apart = placed.withColumns(own).withColumn("own", sum((F.col(f"own_{i}") - F.col(a)) ** 2 for i, a in enumerate(AXES)))
+    both = apart.select("CustomerID", "own").join(near, "CustomerID")
+    worse = F.sqrt("own") > F.sqrt("d") + 1e-6
+    return both.agg(F.count(F.lit(1)).alias("customers"), F.lit(len(listed)).cast("long").alias("clusters"), F.count_if(worse).alias("misplaced"))
+
+
 def cluster_profile(clustered: DataFrame) -> DataFrame:
     return clustered.groupBy("Cluster").agg(*[round_even(exact_mean(F.col(m)), 2).alias(m) for m in METRICS])
 

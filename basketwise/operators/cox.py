@@ -44,6 +44,8 @@ class CoxModel:
     baseline: DataFrame
     log_likelihood: float
     iterations: int
+    spreads: np.ndarray
+    ridge: float
 
 
 def tie_sums(times: DataFrame) -> DataFrame:
@@ -220,12 +222,31 @@ def fit_cox(
             value, gradient, hessian, plain = trial
             if np.abs(scale * move).max() < tolerance or gain < tolerance * 1e-3 * abs(value):
                 break
-        steps = _risk_table(rows, p, beta).where("d > 0")
-        baseline = materialise(steps.select(F.col("duration").cast("long").alias("time"), (F.col("d") / F.col("R")).alias("step")), "baseline")
+        baseline = materialise(baseline_steps(rows, p, beta), "baseline")
     finally:
         rows.unpersist()
     errors = np.sqrt(np.diag(np.linalg.inv(-hessian))) / spreads
-    return CoxModel(names, beta / spreads, errors, means, baseline, float(plain), done)
+    return CoxModel(names, beta / spreads, errors, means, baseline, float(plain), done, spreads, ridge)
+
+
+def baseline_steps(rows: DataFrame, p: int, beta: np.ndarray) -> DataFrame:
+    """(time, step) of Breslow's cumulative hazard for a customer with all covariates zero."""
+    steps = _risk_table(rows, p, beta).where("d > 0")
+    return steps.select(F.col("duration").cast("long").alias("time"), (F.col("d") / F.col("R")).alias("step"))
+
+
+def optimum_check(features: DataFrame, model: CoxModel) -> DataFrame:
+    """(feature, gradient): the penalised gradient at the fitted coefficients, per row and standard deviation.
+
+    It is computed anew from the features on their own scale. At the only maximum of the concave function all are zero.
+    """
+    p = len(model.covariates)
+    centred = [(F.col(c) - float(m)).alias(f"x{j}") for j, (c, m) in enumerate(zip(model.covariates, model.means, strict=True))]
+    rows = features.select("duration", "churned", *centred)
+    _, gradient, _ = _derivatives(rows, p, model.coef)
+    n = max(1, rows.count())
+    left = (gradient / model.spreads - model.ridge * model.coef * model.spreads) / n
+    return features.sparkSession.createDataFrame(list(zip(model.covariates, left.tolist())), "feature string, gradient double")
 
 
 def cox_coefficients(features: DataFrame, model: CoxModel, alpha: float = 0.05) -> DataFrame:

@@ -214,6 +214,17 @@ def _cox_derivatives(names: list[str], beta: list[float]) -> str:
         SELECT {", ".join(out)} FROM remaining)"""
 
 
+def _cox_effects(names: list[str], beta: list[float], shown: str, values: list[float]) -> str:
+    """Breslow's hazard at the given coefficients, and the survival it leaves with one covariate set to values, the others zero."""
+    eta = " + ".join(f"{b}::DOUBLE * ln(1 + {c}::DOUBLE)" for b, c in zip(beta, names, strict=True))
+    listed = ", ".join(f"({v}::DOUBLE)" for v in values)
+    return f"""
+        SELECT * FROM (WITH per_day AS (SELECT duration, SUM(churned) AS d, SUM(exp({eta})) AS h FROM features GROUP BY 1),
+        at_risk AS (SELECT duration, d, SUM(h) OVER (ORDER BY duration DESC) AS r FROM per_day),
+        steps AS (SELECT duration::BIGINT AS time, SUM(d / r) OVER (ORDER BY duration) AS hazard FROM at_risk WHERE d > 0)
+        SELECT time, v AS {shown}, {_even(f"exp(-hazard * exp({beta[names.index(shown)]}::DOUBLE * v))", 9)} AS survival FROM steps, (VALUES {listed}) t(v))"""
+
+
 def _metric_rows(run: str, metrics: dict[str, str], parameters: dict[str, object]) -> str:
     rows = [
         f"SELECT '{run}' AS run, 'metric' AS kind, '{key}' AS key, CAST(({sql}) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text"
@@ -542,6 +553,9 @@ _BODIES = {
     "cox_derivatives": _cox_derivatives(
         ["total_orders", "total_spend", "avg_order_value", "unique_products", "purchase_frequency"], [0.05, -0.1, 0.02, 0.1, -0.2]
     ),
+    "cox_effects_given": _cox_effects(_COX, [0.05, -0.1, 0.02, 0.1, -0.2], "purchase_frequency", [0.5, 1.0, 2.0, 3.0]),
+    "cox_optimum": "SELECT unnest([" + ", ".join(f"'{c}'" for c in _COX) + "]) AS feature, 0.0::DOUBLE AS gradient",
+    "kmeans_check": "SELECT COUNT(*) AS customers, 4::BIGINT AS clusters, 0::BIGINT AS misplaced FROM rfm",
     "survival_features": "SELECT * FROM features",
     "survival_segments": "SELECT * FROM survival",
     "churn_summary": f"""

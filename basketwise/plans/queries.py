@@ -193,14 +193,33 @@ def _recommend_some(lc: Lifecycle) -> DataFrame:
     return recommend.recommend(lc.stored_matrix, lc.descriptions, n=10, customers=materialise(asked, "asked"))
 
 
+#: coefficients that are given, not fitted
+COX_GIVEN = [0.05, -0.1, 0.02, 0.1, -0.2]
+
+
 def _cox_derivatives(lc: Lifecycle) -> DataFrame:
     """Likelihood, gradient and Hessian at fixed coefficients of the unscaled covariates."""
     p = len(cox.COVARIATES)
     rows = lc.cox_rows.select("duration", "churned", *[F.col(c).alias(f"x{j}") for j, c in enumerate(cox.COVARIATES)])
-    row = cox.derivatives_row(rows, p, np.array([0.05, -0.1, 0.02, 0.1, -0.2]))
+    row = cox.derivatives_row(rows, p, np.array(COX_GIVEN))
     return _rounded(row, 3, *row.columns)
 
 
+def _cox_optimum(lc: Lifecycle) -> DataFrame:
+    """The gradient at the fitted coefficients to six digits; adding zero takes the sign off a zero."""
+    check = cox.optimum_check(lc.cox_rows, lc.cox_model)
+    return check.select("feature", (round_even(F.col("gradient"), 6) + F.lit(0.0)).alias("gradient"))
+
+
+def _cox_effects_given(lc: Lifecycle) -> DataFrame:
+    """Partial effects of given coefficients, with the other covariates at zero."""
+    p, beta = len(cox.COVARIATES), np.array(COX_GIVEN)
+    rows = lc.cox_rows.select("duration", "churned", *[F.col(c).alias(f"x{j}") for j, c in enumerate(cox.COVARIATES)])
+    none = np.zeros(p)
+    model = cox.CoxModel(cox.COVARIATES, beta, none, none, materialise(cox.baseline_steps(rows, p, beta), "baseline"), 0.0, 0, none + 1, 0.0)
+    return _rounded(cox.cox_partial_effects(model), 9, "survival")
+
+
 def _padded(lc: Lifecycle) -> DataFrame:
     """One neighbour and long lists, so that lists run short and are filled up in code order."""
     return recommend.recommend(lc.stored_matrix, lc.descriptions, n=60, k=1)
@@ -255,6 +274,7 @@ QUERIES: dict[str, Query] = {
     # clusters
     "kmeans_segments": lambda lc: lc.kmeans_segments,
     "kmeans_profile": lambda lc: cluster.cluster_profile(lc.kmeans_segments),
+    "kmeans_check": lambda lc: cluster.clustering_check(lc.stored_metrics, lc.kmeans_segments.select("CustomerID", "Cluster")),
     "kmeans_elbow": lambda lc: cluster.kmeans_elbow(lc.stored_metrics),
     "label_clusters": _label_profile,
     "segment_cluster_profile": lambda lc: cluster.cluster_profile(_by_segment(lc)),
@@ -277,6 +297,8 @@ QUERIES: dict[str, Query] = {
     "median_survival_by_segment": lambda lc: survival.median_survival(lc.segment_curves, by=["segment"]),
     "cox_features": lambda lc: _rounded(lc.cox_rows, 9, *cox.COVARIATES),
     "cox_derivatives": _cox_derivatives,
+    "cox_optimum": _cox_optimum,
+    "cox_effects_given": _cox_effects_given,
     "cox_coefficients": lambda lc: cox.cox_coefficients(lc.cox_rows, lc.cox_model),
     "cox_partial_effects": lambda lc: cox.cox_partial_effects(lc.cox_model),
     # recommendations

@@ -22,6 +22,41 @@ def test_blobs_are_found_and_labelled(spark):
     assert labelled.groupby(labelled.CustomerID % 4)["Cluster"].nunique().eq(1).all()
 
 
+def test_partitions_do_not_change_clusters(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, float(rng.integers(1, 300)), float(rng.integers(1, 40)), float(rng.gamma(2, 100))) for i in range(400)]
+    df = spark.createDataFrame(rows, "CustomerID long, Recency double, Frequency double, Monetary double")
+    got = [sorted(map(tuple, cluster.kmeans_clusters(df.repartition(n), starts=3).collect())) for n in (1, 7)]
+    assert got[0] == got[1] and {c for _, c in got[0]} == {0, 1, 2, 3}
+    check = cluster.clustering_check(df, spark.createDataFrame(got[0], "CustomerID long, Cluster int")).first()
+    assert (check["customers"], check["clusters"]) == (400, 4) and check["misplaced"] == 0
+    moved = [(i, (c + 1) % 4 if i < 5 else c) for i, c in got[0]]
+    assert cluster.clustering_check(df, spark.createDataFrame(moved, "CustomerID long, Cluster int")).first()["misplaced"] >= 5
+
+
+def test_inertia_is_near_the_best_of_many_starts(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(c, 0.3, (60, 3)) for c in ((0, 0, 0), (4, 0, 0), (0, 4, 1), (3, 3, 3), (6, 6, 0))])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "CustomerID long, Recency double, Frequency double, Monetary double")
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    best = np.inf
+    for _ in range(30):
+        centres = z[rng.choice(len(z), 5, replace=False)]
+        for _ in range(50):
+            near = ((z[:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+            centres = np.stack([z[near == j].mean(axis=0) if (near == j).any() else centres[j] for j in range(5)])
+        best = min(best, ((z - centres[near]) ** 2).sum())
+    row = cluster.kmeans_elbow(df, ks=[5], starts=4).first()
+    assert row["inertia"] == pytest.approx(best, rel=1e-3)
+
+
+def test_fewer_customers_than_clusters_and_none(spark):
+    df = spark.createDataFrame([(1, 1.0, 1.0, 1.0), (2, 5.0, 1.0, 1.0), (3, 5.0, 1.0, 1.0)], "CustomerID long, Recency double, Frequency double, Monetary double")
+    got = {r["CustomerID"]: r["Cluster"] for r in cluster.kmeans_clusters(df, starts=2).collect()}
+    assert got[2] == got[3] != got[1]
+    assert cluster.kmeans_clusters(df.limit(0), starts=2).count() == 0
+
+
 def test_elbow_falls_until_the_true_number(spark):
     rows = cluster.kmeans_elbow(_blobs(spark), ks=[2, 4], starts=4).orderBy("k").collect()
     assert rows[0]["inertia"] > rows[1]["inertia"]
