@@ -215,22 +215,33 @@ def test_language(spark, empty):
 
 def test_forward_sums_all_segmentations():
     table = langid.Pieces(VOCABULARY)
-    chance = np.append(np.random.default_rng(1).random(table.count), 0)[:, None]
-    text = b"the cats"
-    low, high, _ = langid._units(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-    rows, size = langid._matrix(np.frombuffer(text, np.uint8), low, high)
-    got = langid._forward(rows, size, table, chance)[:, 0]
-
-    def all_ways(rest):
-        total = 1.0 if not rest else 0.0
-        for n in range(1, min(langid.PIECE, len(rest)) + 1):
-            load = np.frombuffer(rest[:n].ljust(8, b"\0"), "<u8")
-            piece = int(table.at(load, n)[0])
-            if piece < table.count:
-                total += chance[piece, 0] * all_ways(rest[n:])
-        return total
-
-    assert np.allclose(got, [all_ways(b" the"), all_ways(b" cats")])
+    chance = np.append(np.random.default_rng(1).random(table.count) / 4, 0)[:, None]
+    text = b"the Cats " + b"understandings responsibility " + b"internationalization" * 2 + b" " + b"=" * 70 + b" " + "é".encode() * 13
+    data = np.frombuffer(text, np.uint8)
+    low, high, _ = langid._units(data, np.array([0, len(text)]))
+    got = langid._log_chances(data, low, high, table, chance)[:, 0]
+    longest = max(table.lengths)
+
+    def all_ways(word):
+        total = [1.0] + [0.0] * len(word)
+        for end in range(1, len(word) + 1):
+            for n in range(1, min(longest, end) + 1):
+                piece = table.ids.get(word[end - n : end])
+                if piece is not None:
+                    total[end] += chance[piece, 0] * total[end - n]
+        return np.log(total[-1])
+
+    expected = [all_ways(b" " + w.lower()) for w in text.split(b" ")]
+    assert np.allclose(got, expected)
+    assert any(len(p) > 8 and p in b" understandings responsibility" for p in table.ids)
+
+
+def test_long_words_do_not_underflow():
+    table = langid.Pieces(VOCABULARY)
+    chance = np.append(np.full(table.count, 1 / table.count), 0)[:, None]
+    word = b"xq" * 20_000
+    whole, half = (langid._forward_long(w, table, chance)[0] for w in (word, word[: len(word) // 2]))
+    assert np.isfinite(whole) and whole == pytest.approx(2 * half, rel=1e-3)
 
 
 @pytest.mark.parametrize("hot", [0, 60, 4000])
