@@ -27,37 +27,73 @@ from basketwise.session import materialise
 #: a piece of text between these has the same ids wherever it stands: the vocabulary's normaliser and pattern do not cross them
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
 #: what str.split takes for a gap beyond the ASCII white space
-_OTHER = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
-_KEPT = 200_000  # words remembered by a worker, in each of two generations
+_OTHER = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
+#: characters for which composing changes nothing and lower case goes letter by letter
+_SIMPLE = re.compile(r"[\x00-\xff]*")
+#: fixed value: the pre-token pattern of the vocabulary, for lower-case text of these characters
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+_KEPT = 300_000  # pieces remembered by a worker, in each of two generations
 _LONG = 64
-_LOOSE = 1 / 64  # a greedily filled sequence with more than this part free is cut anew
+
+
+class _Memory(dict):
+    """Remembers the latest values, in two generations."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+
+    def lookup(self, keys: list[str], make) -> list[bytes]:
+        """The value of every key; ``make`` gives those of unknown ones, in order."""
+        out = list(map(self.get, keys))
+        if None in out:
+            new = dict.fromkeys(k for k, v in zip(keys, out) if v is None)
+            old = self.old
+            fresh = [k for k in new if k not in old]
+            found = {k: old[k] for k in new if k in old}
+            found.update(zip(fresh, make(fresh)))
+            out = [found[k] if v is None else v for k, v in zip(keys, out)]
+            if len(self) >= _KEPT:
+                self.old = dict(self)
+                self.clear()
+            self.update((k, v) for k, v in found.items() if len(k) <= _LONG)
+        return out
 
 
 class _Words:
-    """Ids of white-space separated words, as bytes of little-endian 32-bit integers, remembered for the next texts."""
+    """Ids of texts by the tokenizers library, as bytes of little-endian 32-bit integers.
+
+    The library encodes a text's pre-tokens one by one, and these repeat. So it sees each once, many at a time: the last id
+    of a pre-token is one of a word's end. Texts with other characters, or with what may be a special token, are cut at white
+    space only.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.parts, self.whole = _Memory(), _Memory()
 
     def encode(self, text: str) -> bytes:
-        words = _GAP.split(text) if _OTHER.search(text) else text.split()
-        young = self.young
-        out = list(map(young.get, words))
-        if None in out:
-            new = [w for w in dict.fromkeys(words) if w not in young]
-            fresh = [w for w in new if w not in self.old]
-            found = {w: self.old[w] for w in new if w in self.old}
-            for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-                found[w] = np.array(e.ids, dtype="<u4").tobytes()
-            out = [found[w] if ids is None else ids for w, ids in zip(words, out)]
-            if len(young) >= _KEPT:
-                self.old, self.young = young, {}
-            self.young |= {w: ids for w, ids in found.items() if len(w) <= _LONG}
-        return b"".join(out)
+        if "<|" in text or not _SIMPLE.fullmatch(text):
+            words = _GAP.split(text) if _OTHER.search(text) else text.split()
+            return b"".join(self.whole.lookup(words, self._separately))
+        return b"".join(self.parts.lookup(_PART.findall(text.lower()), self._together))
+
+    def _separately(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        edges = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
+        if len(edges) != len(parts) or (len(parts) and edges[-1] != len(ids)):
+            return self._separately(parts)
+        data, at = ids.tobytes(), (4 * np.append(0, edges)).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 _OPEN: dict[str, _Words] = {}
