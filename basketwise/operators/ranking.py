@@ -1,8 +1,8 @@
 """Global ranks, exact quantiles and describe, without a one-partition window.
 
 Values are first counted per distinct value, so that a value held by many rows costs one row.
-The distinct values are then cut into ranges at approximate quantiles; each range is ranked
-on its own and shifted by the count of all lower ranges.
+The distinct values are then cut into ranges at approximate quantiles, and each of these again at its
+own; each range is ranked on its own and shifted by the count of all lower ranges.
 """
 
 from __future__ import annotations
@@ -27,12 +27,7 @@ def ranked_values(df: DataFrame, columns: Sequence[str], ranges: int = 128) -> D
     counts = (
         long.where(F.col("value").isNotNull()).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("ties"))
     )
-    probabilities = [i / ranges for i in range(1, ranges)]
-    edges = counts.groupBy("metric").agg(F.percentile_approx("value", probabilities).alias("edges"))
-    # one row per named column, each with `ranges` numbers
-    placed = counts.join(F.broadcast(edges), "metric").select(
-        "metric", "value", "ties", F.size(F.filter("edges", lambda e: e < F.col("value"))).alias("range")
-    )
+    placed = range_of_value(counts, ranges)
     lower = Window.partitionBy("metric").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("metric", "range")
@@ -52,6 +47,22 @@ def ranked_values(df: DataFrame, columns: Sequence[str], ranges: int = 128) -> D
     )
 
 
+def range_of_value(values: DataFrame, ranges: int = 128) -> DataFrame:
+    """Adds ``range`` to rows (metric, value, ...): about ``ranges`` squared ranges of rising values, each with like many rows.
+
+    The first cut is as exact as an approximate quantile of all rows, which may be off by more than a range of the second; so
+    the ranges are cut again by quantiles of their own rows.
+    """
+    probabilities = [i / ranges for i in range(1, ranges)]
+    below = lambda edges: F.size(F.filter(edges, lambda e: e < F.col("value")))
+    first = values.groupBy("metric").agg(F.percentile_approx("value", probabilities).alias("edges"))
+    # one row per named column, each with `ranges` numbers
+    once = values.join(F.broadcast(first), "metric").withColumn("range", below("edges")).drop("edges")
+    second = once.groupBy("metric", "range").agg(F.percentile_approx("value", probabilities).alias("edges"))
+    # `ranges` rows per named column, each with `ranges` numbers
+    return once.join(F.broadcast(second), ["metric", "range"]).withColumn("range", F.col("range") * ranges + below("edges")).drop("edges")
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation, as (metric, probability, quantile)."""
     spots = ranked_values(df, columns).select(

@@ -72,3 +72,13 @@ def test_scaling_uses_the_population_deviation(spark, customers):
     assert np.allclose(z[["Recency_z", "Frequency_z", "Monetary_z"]].std(ddof=0), 1)
     flat = spark.createDataFrame([(1, 5, 2, 3.0), (2, 5, 2, 3.0)], "CustomerID long, Recency long, Frequency long, Monetary double")
     assert rfm.rfm_scaled(flat).agg(F.sum("Recency_z")).first()[0] == 0.0
+
+
+def test_ranges_stay_small(spark):
+    """Half of all distinct values lie in a millionth of the scale, and a few are huge."""
+    n = 400_000
+    values = spark.range(n).select(F.lit("x").alias("metric"), F.when(F.col("id") % 2 == 0, F.col("id") / 1e12).otherwise(F.exp(F.col("id") / n * 300)).alias("value"))
+    placed = ranking.range_of_value(values, ranges=16)
+    sizes = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).orderBy("range").collect()
+    assert len(sizes) >= 200 and max(r["n"] for r in sizes) < 2 * n / 16**2
+    assert all(a["high"] < b["low"] for a, b in zip(sizes, sizes[1:]))
