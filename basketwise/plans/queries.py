@@ -92,7 +92,7 @@ def _table_counts(lc: Lifecycle) -> DataFrame:
 
 def _survival_metrics(lc: Lifecycle) -> DataFrame:
     at = survival.survival_at_times(lc.curve)
-    churn = lc.features.agg(
+    churn = lc.stored_features.agg(
         round_even(percent_where(F.col("churned") == 1), 2).alias("churn_rate_pct"),
         F.count(F.lit(1)).alias("total_customers"),
     )
