@@ -31,9 +31,10 @@ _OTHER = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
 #: characters for which composing changes nothing and lower case goes letter by letter
 _SIMPLE = re.compile(r"[\x00-\xff]*")
 #: fixed value: the pre-token pattern of the vocabulary, for lower-case text of these characters
-_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x09-\x0d\x20\x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 _KEPT = 300_000  # pieces remembered by a worker, in each of two generations
 _LONG = 64
+_LOOSE = 1 / 64  # a greedily filled sequence with more than this part free is cut anew
 
 
 class _Memory(dict):
