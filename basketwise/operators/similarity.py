@@ -18,6 +18,7 @@ from basketwise.session import materialise
 
 LEVELS = 12  # the highest class of thresholds: 1 - 4 ** -LEVELS and above
 CELL_ROWS = 4096  # entries of one cell of the index that stay together
+NEAR = 8  # most popular products whose weights go along with every entry
 _SLACK = 1 - 1e-9  # bounds are doubles, ranks are not
 
 
@@ -127,32 +128,38 @@ def _kth_key(pairs: DataFrame, by: str, k: int) -> DataFrame:
     return keyed.withColumn("n", F.row_number().over(order)).where(F.col("n") == k).select(by, "key")
 
 
+def _numbered(side: str) -> list[Column]:
+    return [F.col("near")[i].alias(f"{side}{i}") for i in range(NEAR)] + [F.col("away").alias(f"{side}{NEAR}")]
+
+
 def _met(queries: DataFrame, entries: DataFrame) -> DataFrame:
     """(basket, b, n2b) that can reach the basket's threshold by popular products.
 
-    queries: basket, t, StockCode, x, rest, ahead, near1, near2; entries: b, n2b, StockCode, x, rest, ahead, near1, near2. Both are
+    queries: basket, t, StockCode, x, rest, ahead, near, away; entries: b, n2b, StockCode, x, rest, ahead, near, away. Both are
     listed by rising degree. The first product that two lists share is where both still have at least t ahead of them; there
-    their parts allow at most ``x * x' + rest * rest'``. Vectors at cosine t are at most sqrt(2 - 2 t) apart in each
-    product: thresholds are put into classes, and the index into cells of the class's width, by the shared product and the two
-    most popular ones. Cells with very many entries are dealt by hash.
+    their parts allow at most ``x * x' + rest * rest'``. So do the weights of the most popular products (``near``) and the
+    length of all others (``away``). Vectors at cosine t are at most sqrt(2 - 2 t) apart in each product: thresholds are put
+    into classes, and the index into cells of the class's width, by the shared product and the two most popular ones. Cells
+    with very many entries are dealt by hash.
     """
     level = F.least(F.floor(-F.log2(F.greatest(1 - F.col("t"), F.lit(4.0 ** -(LEVELS + 1)))) / 2), F.lit(LEVELS)).cast("int")
     queries = queries.where(F.col("ahead") >= F.col("t") * _SLACK).withColumn("level", level)
     levels = F.broadcast(queries.select("level").distinct())  # at most LEVELS + 1
     apart = F.sqrt(2 * F.pow(F.lit(4.0), -F.col("level"))) + 1e-9
     keys = ["level", "StockCode", "c0", "c1", "c2"]
-    sides = {"c0": "x", "c1": "near1", "c2": "near2"}
+    sides = {"c0": F.col("x"), "c1": F.col("near")[0], "c2": F.col("near")[1]}
     cell = lambda value: F.floor(value / (2 * F.col("apart"))).cast("int")
     index = entries.join(levels, F.col("ahead") >= (1 - F.pow(F.lit(4.0), -F.col("level"))) * _SLACK).withColumn("apart", apart)
-    index = index.select(*keys[:2], *[cell(F.col(v)).alias(c) for c, v in sides.items()], "b", "n2b", F.col("x").alias("xb"), F.col("rest").alias("rest_b"))
+    index = index.select(*keys[:2], *[cell(v).alias(c) for c, v in sides.items()], "b", "n2b", F.col("x").alias("xb"), F.col("rest").alias("rest_b"), *_numbered("b"))
     asking = queries.withColumn("apart", apart)
     for c, v in sides.items():
-        asking = asking.withColumn(c, F.explode(F.sequence(cell(F.col(v) - F.col("apart")), cell(F.col(v) + F.col("apart")))))
-    asking = asking.select(*keys, "basket", "t", "x", "rest")
+        asking = asking.withColumn(c, F.explode(F.sequence(cell(v - F.col("apart")), cell(v + F.col("apart")))))
+    asking = asking.select(*keys, "basket", "t", "x", "rest", *_numbered("a"))
     full = index.groupBy(keys).agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("parts")).where("parts > 1")
     index = index.join(full, keys, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
     asking = asking.join(full, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    possible = F.col("x") * F.col("xb") + F.col("rest") * F.col("rest_b") >= F.col("t") * _SLACK
+    parts = [F.col(f"a{i}") * F.col(f"b{i}") for i in range(NEAR + 1)]
+    possible = F.least(F.col("x") * F.col("xb") + F.col("rest") * F.col("rest_b"), sum(parts[1:], parts[0])) >= F.col("t") * _SLACK
     return asking.join(index, [*keys, "salt"]).where(possible).select("basket", "b", "n2b").distinct()
 
 
@@ -179,18 +186,23 @@ def _popular_only(asking: DataFrame, owned: DataFrame, known: DataFrame, k: int)
     members = materialise(kept.join(named, "items").select("basket", F.col("CustomerID").alias("b"), "n2", "items"), "basket-members")
     askers = materialise(askers.join(named, "items").select("basket", F.col("CustomerID").alias("a"), F.col("n2").alias("n2a")), "basket-askers")
 
-    # the two most popular products: coordinates of the index
-    top = [r[0] for r in owned.select("StockCode", "degree").distinct().orderBy(F.desc("degree"), "StockCode").limit(2).collect()]
-    weight = lambda code, length: F.coalesce(F.get(F.filter("items", lambda i: i["StockCode"] == F.lit(code)), 0)["q"] / length, F.lit(0.0))
-    near = lambda length: [weight(code, length).alias(f"near{i + 1}") for i, code in enumerate([*top, top[-1]][:2])]
+    # the most popular products: coordinates that all entries carry
+    top = [r[0] for r in owned.select("StockCode", "degree").distinct().orderBy(F.desc("degree"), "StockCode").limit(NEAR).collect()]
+    units = lambda code: F.coalesce(F.get(F.filter("items", lambda i: i["StockCode"] == F.lit(code)), 0)["q"], F.lit(0).cast("long"))
+    padded = [units(code) for code in top] + [F.lit(0).cast("long")] * (NEAR - len(top))
+    own2 = F.aggregate("items", F.lit(0).cast("long"), lambda s, i: s + i["q"] * i["q"])
+    vectors = lambda rows: rows.withColumn("units", F.array(*padded)).withColumn("own2", own2)
+    near2 = F.aggregate("units", F.lit(0).cast("long"), lambda s, q: s + q * q)
+    weights = lambda length: [
+        F.transform("units", lambda q: q / F.sqrt(length)).alias("near"), F.sqrt((F.col("own2") - near2) / F.col(length)).alias("away")
+    ]
     listed = F.posexplode("items").alias("pos", "i")
-    entries = members.select("b", F.col("n2").alias("n2b"), *near(F.sqrt("n2")), listed)
-    entries = entries.select("b", "n2b", "near1", "near2", "pos", "i.StockCode", "i.q", (F.col("i.q") / F.sqrt("n2b")).alias("x"))
+    entries = vectors(members).select("b", F.col("n2").alias("n2b"), *weights("n2"), listed)
+    entries = entries.select("b", "n2b", "near", "away", "pos", "i.StockCode", "i.q", (F.col("i.q") / F.sqrt("n2b")).alias("x"))
     entries = materialise(_with_rest(entries, "b"), "popular-entries")
     asked = named.join(askers.select("basket").distinct(), "basket", "left_semi")
-    length2 = F.aggregate("items", F.lit(0).cast("long"), lambda s, i: s + i["q"] * i["q"])
-    queries = asked.withColumn("length2", length2).select("basket", "length2", *near(F.sqrt("length2")), listed)
-    queries = queries.select("basket", "length2", "near1", "near2", "pos", "i.StockCode", "i.q", (F.col("i.q") / F.sqrt("length2")).alias("x"))
+    queries = vectors(asked).select("basket", F.col("own2").alias("length2"), *weights("own2"), listed)
+    queries = queries.select("basket", "length2", "near", "away", "pos", "i.StockCode", "i.q", (F.col("i.q") / F.sqrt("length2")).alias("x"))
     queries = materialise(_with_rest(queries, "basket"), "popular-queries")
 
     first = materialise(_basket_dots(_nearby(members, k).join(asked.select("basket"), "basket", "left_semi"), queries, entries), "popular-nearby")
