@@ -197,21 +197,23 @@ def fit(docs: DataFrame, vocabulary: str, *, text: str = "text", lang: str = "la
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         table = pieces(vocabulary)
         chance = np.append(np.full(table.count, 1 / table.count), 0)
-        data, seen = [], []
+        rows_, sizes_, hashes_, counts_ = [], [], [], []
         for _, _, block, offsets in text_chunks(pa.array(frame["__text"], pa.string())):
             low, high, _ = _units(block, offsets)
             short = high - low <= UNIT
             low, high = low[short], high[short]
-            row, size = _matrix(block, low, high) if len(low) else (np.zeros((0, 1 + UNIT + _PAD + 8), np.uint8), low)
-            data.append(row)
-            seen.append(size)
-        row, size = np.concatenate(data), np.concatenate(seen)
-        if len(row):
-            row, first, weights = np.unique(row, axis=0, return_index=True, return_counts=True)
-            size = size[first]
+            if len(low):  # each word of a chunk once, then each of all chunks
+                values, first, many = np.unique(word_hashes(block, low, high, lower=True), return_index=True, return_counts=True)
+                row, size = _matrix(block, low[first], high[first])
+                for held, part in zip((rows_, sizes_, hashes_, counts_), (row, size, values, many)):
+                    held.append(part)
+        if rows_:
+            _, first, which = np.unique(np.concatenate(hashes_), return_index=True, return_inverse=True)
+            weights = np.bincount(which, np.concatenate(counts_))
+            row, size = np.concatenate(rows_)[first], np.concatenate(sizes_)[first]
             for _ in range(rounds):
                 counts = sum(
-                    _expected(row[i : i + _SLICE], size[i : i + _SLICE], weights[i : i + _SLICE].astype(float), table, chance)
+                    _expected(row[i : i + _SLICE], size[i : i + _SLICE], weights[i : i + _SLICE], table, chance)
                     for i in range(0, len(row), _SLICE)
                 )
                 counts += _SMOOTH

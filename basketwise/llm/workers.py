@@ -24,4 +24,8 @@ def ready(spark: SparkSession) -> SparkSession:
     path = environment.get("PYTHONPATH", "")
     if _ROOT not in path.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path]))
+    # reused workers give freed memory back
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    environment.setdefault("MALLOC_TRIM_THRESHOLD_", str(1 << 20))
+    environment.setdefault("MALLOC_ARENA_MAX", "1")
     return prepare(spark)
