@@ -112,8 +112,10 @@ def _settled(points: DataFrame, centres: dict[int, np.ndarray], tolerance: float
 
 
 def _inertia(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
+    if not centres:
+        return {}
     sums = _against(points, centres).groupBy("start").agg(_whole(F.col("d")).alias("d"))
-    return {r["start"]: float(r["d"]) / UNIT for r in sums.collect()} if centres else {}
+    return {r["start"]: float(r["d"]) / UNIT for r in sums.collect()}
 
 
 def fit(points: DataFrame, runs: list[tuple[int, int]], max_iter: int) -> list[Clustering]:
