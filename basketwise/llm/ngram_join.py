@@ -32,7 +32,7 @@ from basketwise.session import materialise
 _SEEDS = [0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
 _OFTEN = 3  # a gram in so many sets of one chunk is counted as frequent
 _FREQUENT = 1 << 16  # frequent grams that are told apart in the order of grams
-_GRAMS = 1_000_000  # per bucket
+_GRAMS = 500_000  # per bucket
 _BLOCK = 512
 _META = "doc_id long, text_key long, n_shingles long, digest binary, sid long, minima array<long>, bits binary, frequent binary"
 _GRAM = np.dtype([("key", "<u8"), ("sets", "<u4")])
