@@ -71,6 +71,22 @@ def test_asking_for_some_gives_the_same_lists(spark, degree):
     }
 
 
+@pytest.mark.parametrize("some", [False, True])
+def test_few_pairs_go_on_and_all_best_are_among_them(spark, monkeypatch, some):
+    """90 customers of three wide products: most of their 8,010 ordered pairs cannot be among anybody's three best."""
+    monkeypatch.setattr(similarity, "PAIRS", 500)
+    rng = np.random.default_rng(8)
+    counts = {c: {"A": int(rng.integers(1, 60)), "B" if c % 2 else "C": int(rng.integers(1, 60)), f"own{c}": 30} for c in range(90)}
+    rows = [(c, p, q, sum(x * x for x in b.values()), 90, not some or c < 9) for c, b in counts.items() for p, q in b.items()]
+    rare = spark.createDataFrame(rows, "CustomerID long, StockCode string, q long, n2 long, degree long, asks boolean")
+    asked = [c for c in counts if not some or c < 9]
+    pairs = similarity._rare_only(rare, 3)
+    assert pairs.count() < len(asked) * 89 / 2
+    got = similarity._best(pairs, 3).orderBy("a", "rank").collect()
+    expected = _nearest(counts, 3)
+    assert [(r["a"], r["b"]) for r in got] == [(a, b) for a in asked for b, _ in expected[a]]
+
+
 def test_equal_baskets_leave_out_the_customer_itself(spark):
     counts = {c: {"X": 2, "Y": 1} for c in (4, 1, 3)} | {2: {"X": 4, "Y": 2}}
     got = _as_lists(similarity.nearest_customers(_matrix(spark, counts), 2, max_pair_degree=1))
