@@ -1,17 +1,19 @@
 """K-Means on scaled recency, frequency and spend, with business labels.
 
 All starts, and all numbers of clusters of an elbow scan, run side by side: every step is one pass over the customers, which
-leaves one row per start and centre. Starts are seeded by k-means||: in a few rounds each start takes points that are
+leaves one row per task, start and centre. Starts are seeded by k-means||: in a few rounds each start takes points that are
 likely far from the ones it has, and picks its centres among these by weight. Draws are hashes of the customer id
 and sums are whole numbers, so neither partitions nor their order change the clusters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -55,6 +57,40 @@ def _against(points: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     return each.select("CustomerID", *AXES, "start", near.alias("near")).select("CustomerID", *AXES, "start", F.col("near.at").alias("at"), F.col("near.d").alias("d"))
 
 
+def _sums(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[tuple[int, int], tuple[int, list[int], int]]:
+    """(start, centre) to its number of points, their summed coordinates and squared distances, as whole parts of 1 / ``UNIT``.
+
+    As ``_against`` with groups, but a task compares its points with the centres in blocks and leaves a row per centre.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], list[int]] = {}
+        for batch in batches:
+            whole = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            for low in range(0, whole.shape[1], 1 << 12):
+                axes = whole[:, low : low + (1 << 12)]
+                for start, rows in centres.items():
+                    apart = np.zeros((len(rows), axes.shape[1]))
+                    for i, axis in enumerate(axes):
+                        away = rows[:, i, None] - axis
+                        apart += away * away
+                    at = apart.argmin(axis=0)
+                    parts = np.vstack([axes, apart[at, np.arange(len(at))]])
+                    parts = np.rint(parts * UNIT).astype(np.int64)
+                    for j in np.unique(at).tolist():
+                        mine = at == j
+                        found = [int(mine.sum()), *parts[:, mine].sum(axis=1).tolist()]
+                        total[start, j] = [a + b for a, b in zip(total.get((start, j), [0] * len(found)), found)]
+        rows = [(start, at, *map(Decimal, numbers)) for (start, at), numbers in total.items()]
+        kinds = [pa.int32(), pa.int32(), *[pa.decimal128(38, 0)] * (len(AXES) + 2)]
+        names = ["start", "at", "n", *AXES, "d"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
+
+    schema = "start int, at int, " + ", ".join(f"{c} decimal(38,0)" for c in ["n", *AXES, "d"])
+    sums = points.select(*AXES).mapInArrow(run, schema).groupBy("start", "at").agg(*[F.sum(c).alias(c) for c in ["n", *AXES, "d"]])
+    return {(r["start"], r["at"]): (int(r["n"]), [int(r[a]) for a in AXES], int(r["d"])) for r in sums.collect()}
+
+
 def _whole(value: Column) -> Column:
     """Exact sum, whatever the order of rows."""
     return F.sum(F.rint(value * UNIT).cast("decimal(20,0)"))
@@ -78,7 +114,7 @@ def _seeds(points: DataFrame, runs: list[tuple[int, int]]) -> dict[int, np.ndarr
         for r in drawn.orderBy("start", "n").collect():  # OVERSAMPLE * k per start
             taken[r["start"]].append([r[a] for a in AXES])
     held = {s: np.unique(np.array(c), axis=0) for s, c in taken.items()}
-    weights = {(r["start"], r["at"]): r["n"] for r in _against(points, held).groupBy("start", "at").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weights = {place: n for place, (n, _, _) in _sums(points, held).items()}
     return {s: _spread(held[s], np.array([weights.get((s, i), 0) for i in range(len(held[s]))], float), k, seed) for s, (k, seed) in enumerate(runs)}
 
 
@@ -99,11 +135,9 @@ def _settled(points: DataFrame, centres: dict[int, np.ndarray], tolerance: float
     for _ in range(max_iter):
         if not moving:
             break
-        near = _against(points, {s: centres[s] for s in moving})
-        sums = near.groupBy("start", "at").agg(F.count(F.lit(1)).alias("n"), *[_whole(F.col(a)).alias(a) for a in AXES])
         moved = {s: centres[s].copy() for s in moving}
-        for r in sums.collect():
-            moved[r["start"]][r["at"]] = [float(r[a]) / UNIT / r["n"] for a in AXES]
+        for (s, at), (n, axes, _) in _sums(points, {s: centres[s] for s in moving}).items():
+            moved[s][at] = [float(a) / UNIT / n for a in axes]
         for s, rows in moved.items():
             if ((rows - centres[s]) ** 2).sum() <= tolerance:
                 moving.discard(s)
@@ -114,8 +148,10 @@ def _settled(points: DataFrame, centres: dict[int, np.ndarray], tolerance: float
 def _inertia(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
     if not centres:
         return {}
-    sums = _against(points, centres).groupBy("start").agg(_whole(F.col("d")).alias("d"))
-    return {r["start"]: float(r["d"]) / UNIT for r in sums.collect()}
+    total: dict[int, int] = {}
+    for (start, _), (_, _, d) in _sums(points, centres).items():
+        total[start] = total.get(start, 0) + d
+    return {start: float(d) / UNIT for start, d in total.items()}
 
 
 def fit(points: DataFrame, runs: list[tuple[int, int]], max_iter: int) -> list[Clustering]:

@@ -113,3 +113,14 @@ def test_metrics_of_runs_pile_up_in_one_table(spark, tmp_path):
         ("a", "parameter", "model", None, "x"),
     ]
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 8
+
+
+def test_sums_leave_a_row_per_task_and_centre_and_equal_the_rows_groups(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, *map(float, rng.normal(0, 2, 3))) for i in range(500)]
+    points = spark.createDataFrame(rows, ["CustomerID", *cluster.AXES]).repartition(3)
+    centres = {0: rng.normal(0, 2, (4, 3)), 7: np.array([[0.0, 0.0, 0.0], [0.0, 0.0, 0.0], [1.0, 1.0, 1.0]])}
+    near = cluster._against(points, centres).toPandas()
+    near[[*cluster.AXES, "d"]] = np.rint(near[[*cluster.AXES, "d"]] * cluster.UNIT).astype("int64")
+    expected = {place: (len(g), [int(g[a].sum()) for a in cluster.AXES], int(g.d.sum())) for place, g in near.groupby(["start", "at"])}
+    assert cluster._sums(points, centres) == expected
