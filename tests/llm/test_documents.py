@@ -313,6 +313,24 @@ def test_contamination_by_item_length(spark):
     assert got == expected and len(expected) >= len(items)
 
 
+@pytest.mark.parametrize("sample", [4, 40])
+def test_recall_with_a_small_sample(spark, monkeypatch, sample):
+    """Copies with every tenth word replaced, searched by an index fitted on few passages, against all passages with all items."""
+    r = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(k, " ".join(r.choices(vocabulary, k=n))) for k, n in enumerate([20, 40, 70, 120] * 5)]
+    texts = []
+    for k in range(60):
+        copy = [r.choice(vocabulary) if i % 10 == 9 else w for i, w in enumerate(items[k % 20][1].split())]
+        texts.append((k, " ".join(r.choices(vocabulary, k=r.randrange(60, 400)) + copy + r.choices(vocabulary, k=50))))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "SAMPLE", sample)
+    pairs = lambda **o: {(x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, benchmark, **o).collect()}
+    brute = pairs(cosine=-2.0)
+    assert len(brute) >= 55 and len(pairs() & brute) >= 0.9 * len(brute)
+
+
 def test_longest_common_subsequence():
     r = random.Random(4)
     for _ in range(50):
