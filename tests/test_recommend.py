@@ -158,3 +158,29 @@ def test_matrix_and_stats(spark):
     matrix = similarity.purchase_matrix(spark.createDataFrame(pdf))
     assert sorted(map(tuple, matrix.collect())) == [(1, "A", 3), (2, "B", 5)]
     assert tuple(similarity.matrix_stats(matrix).first()) == (2, 2, 2, 50.0)
+
+
+def test_baskets_meet_in_one_exchange_by_customer(spark, capsys):
+    """Neighbours' products are not dealt out, joined or sorted as rows; rows that repeat or lack a code count as they are."""
+    counts = {1: {"A": 1}, 2: {"A": 1, "B": 3, "C": 2}, 3: {"A": 2, "C": 5}}
+    extra = spark.createDataFrame([(2, "B", 3), (2, None, 1), (1, None, 4)], SCHEMA)
+    matrix = _matrix(spark, counts).unionByName(extra)
+    near = spark.createDataFrame([(1, 2, 0.5, 1), (1, 3, 0.25, 2)], "CustomerID long, neighbour long, similarity double, rank int")
+    got = recommend.recommend(matrix, _descriptions(spark, counts), n=9, pad=False, neighbours=near)
+    rows = got.orderBy("rank").select("CustomerID", "StockCode", "Score").collect()
+    assert [tuple(r) for r in rows] == [(1, "B", 3.0), (1, "C", 2.25), (1, None, 0.5)]
+    capsys.readouterr()
+    got.select("CustomerID", "StockCode", "Score").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("hashpartitioning(CustomerID") >= 1 and "StockCode" not in "".join(x.split(")")[0] for x in plan.split("hashpartitioning(CustomerID")[1:])
+
+
+def test_lists_travel_in_the_narrowest_type_that_holds_them(spark):
+    rows = spark.createDataFrame([(-(1 << 15), 1 << 15, 1 << 31, "x"), (3, None, 1, "y")], "a long, b long, c long, d string")
+    assert [similarity._narrow(rows, c) for c in "abcd"] == ["smallint", "int", "bigint", "string"]
+    assert similarity._narrow(rows.limit(0), "a") == "smallint"
+    for big in (1, 1 << 20, 1 << 40):  # ids and units beyond each type
+        counts = {c * big + 5: {p: q * big for p, q in b.items()} for c, b in {1: {"A": 1, "B": 2}, 2: {"A": 1, "B": 3}, 3: {"B": 1}}.items()}
+        counts = {c: {p: min(q, 1 << 30) for p, q in b.items()} for c, b in counts.items()}
+        got = _as_lists(similarity.nearest_customers(_matrix(spark, counts), 2))
+        assert {a: [b for b, _ in x] for a, x in got.items()} == {a: [b for b, _ in x] for a, x in _nearest(counts, 2).items()}
