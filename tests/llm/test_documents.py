@@ -349,7 +349,7 @@ def test_sums_of_blocks_take_one_word_of_each_at_a_time():
     import tracemalloc
 
     rng = np.random.default_rng(5)
-    lengths = np.append(np.full(4000, decontaminate.HALF), [1, 7, 16, 2])
+    lengths = np.append(np.full(4000, decontaminate.HALF), [*range(1, 17), 2])
     starts = np.cumsum(lengths) - lengths
     feature = rng.integers(0, decontaminate.FEATURES, int(lengths.sum()))
     latent = rng.standard_normal((decontaminate.FEATURES, 64)).astype(np.float32)
@@ -359,28 +359,21 @@ def test_sums_of_blocks_take_one_word_of_each_at_a_time():
     tracemalloc.stop()
     expected = np.stack([latent[feature[a : a + n]].astype(float).sum(axis=0) for a, n in zip(starts, lengths)])
     assert np.allclose(got, expected, atol=1e-4)
-    assert peak < 4 * got.nbytes + latent.nbytes * 1.1
-
-
-def test_portions_keep_an_anchor_together(monkeypatch):
-    monkeypatch.setattr(suffix, "_STRINGS", 4)
-    which = np.array([3, 0, 1, 3, 2, 1, 3, 4, 4, 3, 3, 5, 5])
-    count = np.bincount(which)
-    parts = [p.tolist() for p in suffix._portions(which, count)]
-    assert sorted(sum(parts, [])) == [i for i, w in enumerate(which) if count[w] > 1]
-    assert len(parts) == 3 and all(len({which[i] for i in p} & {which[i] for q in parts if q is not p for i in q}) == 0 for p in parts)
-    assert list(suffix._portions(np.arange(3), np.ones(3, int))) == []
-
-
-@pytest.mark.parametrize("portion", [1, 7])
-def test_owners_do_not_depend_on_portions(monkeypatch, portion):
-    """Segments of few anchors, sorted all at once and a few at a time."""
-    rng = np.random.default_rng(portion)
-    texts = [rng.integers(1, 3, int(n)).astype(np.uint8) for n in rng.integers(50, 77, 60)]
-    texts += [np.append(t[3:], rng.integers(1, 3, 3)).astype(np.uint8) for t in texts[:20]]
-    strings = np.zeros(len(texts), suffix._STRING)
-    strings["segment"], strings["owner"], strings["size"] = np.arange(len(texts)), rng.permutation(len(texts)), [len(t) for t in texts]
-    strings["anchor"] = np.arange(len(texts)) % 20  # a text and its shifted copy have one anchor
-    whole = list(suffix._first_owners(strings, np.concatenate(texts), 50))
-    monkeypatch.setattr(suffix, "_STRINGS", portion)
-    assert whole and list(suffix._first_owners(strings, np.concatenate(texts), 50)) == whole
+    assert (got == np.add.reduceat(latent[feature], starts, axis=0)).all()
+    assert peak < 6 * got.nbytes + latent.nbytes * 1.1
+
+
+def test_dense_rows_take_little_more_than_the_result():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    packed = [rng.integers(0, decontaminate.FEATURES, n).astype(np.int16).tobytes() for n in [0, 1, *rng.integers(1, 33, 400)]]
+    idf = rng.random(decontaminate.FEATURES) + 1
+    tracemalloc.start()
+    got = decontaminate._dense(packed, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for row, words in zip(got, packed):
+        one = np.bincount(np.frombuffer(words, np.int16), minlength=decontaminate.FEATURES) * idf
+        assert (row == (one / (np.sqrt((one * one).sum()) or 1)).astype(np.float32)).all()
+    assert peak < 3 * got.nbytes
