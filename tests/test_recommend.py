@@ -3,6 +3,7 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from basketwise.operators import recommend, similarity
 
@@ -184,3 +185,27 @@ def test_lists_travel_in_the_narrowest_type_that_holds_them(spark):
         counts = {c: {p: min(q, 1 << 30) for p, q in b.items()} for c, b in counts.items()}
         got = _as_lists(similarity.nearest_customers(_matrix(spark, counts), 2))
         assert {a: [b for b, _ in x] for a, x in got.items()} == {a: [b for b, _ in x] for a, x in _nearest(counts, 2).items()}
+
+
+def test_keys_and_counts_share_a_number(spark):
+    cases = [([(-5, 0), (1 << 19, 2047)], "int"), ([(1 << 40, 7), (-(1 << 40), 0)], "bigint"), ([(1 << 60, 1 << 20)], None), ([(1, -1)], None), ([(1, None), (None, 2)], None), ([], "int")]
+    for pairs, kind in cases:
+        rows = spark.createDataFrame(pairs, "k long, n long")
+        pack = similarity.Packed(rows, "k", "n")
+        assert pack.type == kind
+        back = rows.select(pack.put(rows.k, rows.n).alias("x")).select(pack.key(F.col("x")).alias("k"), pack.count(F.col("x")).alias("n"))
+        assert back.schema == rows.schema
+        assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, pairs))
+    assert similarity.Packed(spark.createDataFrame([("x", 1)], "k string, n long"), "k", "n").type is None
+
+
+def test_lists_of_those_who_meet_are_moved_in_parts(spark, monkeypatch):
+    """No more than AT_ONCE meetings are on disk at a time, whatever there are in all; the result is the same."""
+    counts = _random_counts(3)
+    written, store = [], similarity.materialise
+    monkeypatch.setattr(similarity, "materialise", lambda df, name: written.append(name) or store(df, name))
+    monkeypatch.setattr(similarity, "AT_ONCE", 700)
+    got = _as_lists(similarity.nearest_customers(_matrix(spark, counts), k=5))
+    assert written.count("met") > 1
+    expected = {a: rows for a, rows in _nearest(counts, 5).items() if rows}
+    assert {a: [b for b, _ in x] for a, x in got.items()} == {a: [b for b, _ in x] for a, x in expected.items()}
