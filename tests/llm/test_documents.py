@@ -174,6 +174,15 @@ def test_sorted_suffixes(seed):
         assert same == n
 
 
+def test_rows_by_symbol(monkeypatch):
+    """Both ways of sorting give the order of a stable sort by the symbol."""
+    last = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
+    expected = np.argsort(last, kind="stable").tolist()
+    assert suffix._by_symbol(last).tolist() == expected and suffix._by_symbol(last[:0]).tolist() == []
+    monkeypatch.setattr(suffix, "_ROWS", 1 << 12)
+    assert suffix._by_symbol(last).tolist() == expected
+
+
 TRICKY = [
     "<|endoftext|>a<|endoftext|><|endoftext|>", "  leading", "tabs\t\tand\n\n lines \n", "it's we'll I'D 'S", " nbsp wide", "1234567890 12ab",
     "\U0001f600\U0001f601 emoji", "a" * 3000, "ab" * 2000, "\x1c\x1d\x85 control", "�﻿", "    ", "!!!???###", "กำลัง",
