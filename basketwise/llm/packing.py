@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from basketwise.session import materialise
 
@@ -65,14 +65,19 @@ class _Words:
     """Ids of texts by the tokenizers library, as bytes of little-endian 32-bit integers.
 
     The library encodes a text's pre-tokens one by one, and these repeat. So it sees each once, many at a time: the last id
-    of a pre-token is one of a word's end. Texts with other characters, or with what may be a special token, are cut at white
+    of a pre-token is one of a word's end. Pre-tokens found here are lower case and composed already, so the library needs to cut them at
+    spaces only. Texts with other characters, or with what may be a special token, are cut at white
     space only.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer, self.cutter = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for tokenizer in (self.tokenizer, self.cutter):
+            tokenizer.no_truncation()
+            tokenizer.no_padding()
+        self.cutter.normalizer = normalizers.Sequence([])
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.cutter.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), letters])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -89,7 +94,7 @@ class _Words:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _together(self, parts: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ids = np.array(self.cutter.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
         edges = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
         if len(edges) != len(parts) or (len(parts) and edges[-1] != len(ids)):
             return self._separately(parts)

@@ -273,3 +273,16 @@ def test_loose_pieces_are_strung_together():
             assert fill[sequence] == offset
             fill[sequence] += size
     assert list(fill.values()) == [64, 64, 64, 8, 4, 1]
+
+
+def test_pre_tokens_are_cut_at_spaces_only():
+    """Their ids are those of the library for the whole text, without its normaliser and pattern."""
+    r = random.Random(3)
+    texts = ["".join(chr(r.randrange(256)) for _ in range(r.randrange(60))).replace("|", "") for _ in range(500)] + ["it's WE'LL \x1c\x1d\x85x\xa0y \xb5\xaa\xba \xb2\xb3 \xdf\xc0"]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, library = packing._Words(path), Tokenizer.from_file(path)
+    asked: list[str] = []
+    words._separately = lambda parts: asked.extend(parts) or []
+    for text in texts:
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not asked and words.cutter is not words.tokenizer
