@@ -28,10 +28,18 @@ from basketwise.session import materialise
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
 #: what str.split takes for a gap beyond the ASCII white space
 _OTHER = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
-#: characters for which composing changes nothing and lower case goes letter by letter
-_SIMPLE = re.compile(r"[\x00-\xff]*")
-#: fixed value: the pre-token pattern of the vocabulary, for lower-case text of these characters
-_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x09-\x0d\x20\x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+#: Latin-1 characters: composing changes none of them, and lower case goes letter by letter
+_LATIN = bytes(range(256)).decode("latin-1")
+_LOWER = np.frombuffer(_LATIN.lower().encode("latin-1"), np.uint8)
+_GAPS, _WORD, _DIGIT, _REST = range(4)
+#: fixed values: the classes of the vocabulary's pre-token pattern, for these characters in lower case
+_CLASSES = (r"[\x09-\x0d\x20\x85\xa0]", "[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]", "[0-9\xb2\xb3\xb9\xbc-\xbe]", r"[\x00-\xff]")
+_KIND = np.array([next(k for k, p in enumerate(_CLASSES) if re.fullmatch(p, c)) for c in _LATIN], np.uint8)
+#: the character that stands for each byte in a byte-level vocabulary: printable ones as they are, the others from 256 on; spaces stay
+_LETTERS = np.arange(256, dtype="<u2")
+_UNSEEN = np.setdiff1d(_LETTERS, [*range(33, 127), *range(161, 173), *range(174, 256)])
+_LETTERS[_UNSEEN] = 256 + np.arange(len(_UNSEEN))
+_LETTERS[32] = 32
 _KEPT = 300_000  # pieces remembered by a worker, in each of two generations
 _LONG = 64
 _LOOSE = 1 / 64  # a greedily filled sequence with more than this part free is cut anew
@@ -42,9 +50,9 @@ class _Memory(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.old: dict[str, bytes] = {}
+        self.old: dict = {}
 
-    def lookup(self, keys: list[str], make) -> list[bytes]:
+    def lookup(self, keys: list, make) -> list[bytes]:
         """The value of every key; ``make`` gives those of unknown ones, in order."""
         out = list(map(self.get, keys))
         if None in out:
@@ -61,13 +69,40 @@ class _Memory(dict):
         return out
 
 
+def _latin(text: str) -> bytes | None:
+    """The text in Latin-1, if it has no other characters and nothing that may be a special token."""
+    try:
+        return None if "<|" in text else text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+
+
+def _pre_tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the pre-tokens in Latin-1 text of lower case: runs of one class, digits singly, and 's, 't, 're, 've, 'm, 'll, 'd."""
+    kind = _KIND[data]
+    begins = np.ones(len(data), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    start = np.flatnonzero(begins)
+    solid = kind[start] != _GAPS
+    end = np.append(start[1:], len(data))
+    quote = np.flatnonzero((data[start] == ord("'")) & (end - start == 1) & (end < len(data)))
+    after = np.append(data, np.uint8(0))
+    first, second = after[end[quote]], after[end[quote] + 1]
+    two = (np.isin(first, list(b"rv")) & (second == ord("e"))) | ((first == ord("l")) & (second == ord("l")))
+    taken = np.isin(first, list(b"stmd")) + 2 * two
+    end[quote] += taken
+    start[quote + 1] += taken
+    solid &= start < end
+    return start[solid], end[solid]
+
+
 class _Words:
     """Ids of texts by the tokenizers library, as bytes of little-endian 32-bit integers.
 
-    The library encodes a text's pre-tokens one by one, and these repeat. So it sees each once, many at a time: the last id
-    of a pre-token is one of a word's end. Pre-tokens found here are lower case and composed already, so the library needs to cut them at
-    spaces only. Texts with other characters, or with what may be a special token, are cut at white
-    space only.
+    The library encodes a text's pre-tokens one by one, and these repeat. So texts come many at a time, their distinct pre-tokens are
+    looked up once, and the library sees the unknown ones together: the last id of a pre-token is one of a word's end. Pre-tokens found
+    here are lower case, composed and written in the vocabulary's characters for bytes already, so the library needs to cut them at
+    spaces only. Texts with other than Latin-1 characters, or with what may be a special token, are cut at white space only.
     """
 
     def __init__(self, path: str) -> None:
@@ -76,8 +111,7 @@ class _Words:
             tokenizer.no_truncation()
             tokenizer.no_padding()
         self.cutter.normalizer = normalizers.Sequence([])
-        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.cutter.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), letters])
+        self.cutter.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -85,19 +119,43 @@ class _Words:
         self.parts, self.whole = _Memory(), _Memory()
 
     def encode(self, text: str) -> bytes:
-        if "<|" in text or not _SIMPLE.fullmatch(text):
-            words = _GAP.split(text) if _OTHER.search(text) else text.split()
-            return b"".join(self.whole.lookup(words, self._separately))
-        return b"".join(self.parts.lookup(_PART.findall(text.lower()), self._together))
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        plain = [_latin(text) for text in texts]
+        simple = [x for x in plain if x is not None]
+        data = _LOWER[np.frombuffer(b"\n".join([*simple, b"\n"]), np.uint8)]
+        start, end = _pre_tokens(data)
+        edges = np.searchsorted(start, np.cumsum([0, *[len(x) + 1 for x in simple]]))
+        offsets = np.append(0, np.cumsum(end - start)).astype(np.int32)
+        solid = pa.py_buffer(data[_KIND[data] != _GAPS])
+        coded = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), solid]).dictionary_encode()
+        known = self.parts.lookup(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._together)
+        ids, size = np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first, which = np.cumsum(size) - size, coded.indices.to_numpy()
+        spans = zip(edges.tolist(), edges[1:].tolist())
+        for text, latin in zip(texts, plain):
+            if latin is None:
+                words = _GAP.split(text) if _OTHER.search(text) else text.split()
+                yield b"".join(self.whole.lookup(words, self._separately))
+            else:
+                a, b = next(spans)
+                n = size[which[a:b]]
+                at = np.repeat(first[which[a:b]] - (np.cumsum(n) - n), n)
+                at += np.arange(len(at))
+                yield ids[at].tobytes()
 
     def _separately(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _together(self, parts: list[str]) -> list[bytes]:
-        ids = np.array(self.cutter.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _together(self, parts: list[bytes]) -> list[bytes]:
+        utf8 = b" ".join(parts).decode("latin-1").encode()
+        letters = _LETTERS[np.frombuffer(utf8, np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.cutter.encode_batch_fast([letters], add_special_tokens=False)[0].ids, dtype="<u4")
         edges = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
         if len(edges) != len(parts) or (len(parts) and edges[-1] != len(ids)):
-            return self._separately(parts)
+            return self._separately([x.decode("latin-1") for x in parts])
         data, at = ids.tobytes(), (4 * np.append(0, edges)).tolist()
         return [data[a:b] for a, b in zip(at, at[1:])]
 
@@ -127,8 +185,8 @@ def cut_documents(docs: DataFrame, vocabulary: str, capacity: int, end_id: int,
         coder = _words(vocabulary)
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for i, value in enumerate(batch.column("__text")):
-                ids = coder.encode(value.as_py()) + last
+            for i, ids in enumerate(coder.encode_all(batch.column("__text").to_pylist())):
+                ids += last
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = memoryview(ids)[4 * start : 4 * (start + capacity)]
@@ -355,8 +413,9 @@ def _recut(spark: SparkSession, docs: DataFrame, loose: DataFrame, vocabulary: s
         coder = _words(vocabulary)
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
-            for key, value, cut in zip(batch.column("text_key").to_pylist(), batch.column("__text"), batch.column("asked").to_pylist()):
-                ids = memoryview(coder.encode(value.as_py()) + last)
+            texts = coder.encode_all(batch.column("__text").to_pylist())
+            for key, ids, cut in zip(batch.column("text_key").to_pylist(), texts, batch.column("asked").to_pylist()):
+                ids = memoryview(ids + last)
                 for c in cut:
                     s, n = c["__start"], c["__length"]
                     out.append((key, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))

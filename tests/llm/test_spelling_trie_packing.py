@@ -286,3 +286,21 @@ def test_pre_tokens_are_cut_at_spaces_only():
     for text in texts:
         assert np.frombuffer(words.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert not asked and words.cutter is not words.tokenizer
+
+
+def test_pre_tokens_are_looked_up_once_for_many_texts():
+    """A batch asks for each pre-token once, and the ids are still those of the library, text by text."""
+    r = random.Random(4)
+    pieces = ["'s", "'re", "'Ll", "'", "''ve", "'x", "STORY", "caf\xc9", "it's'T", "42\xbd", "?!", "\xa0", "\x85", " ", "\n\n", "\t", "\x1c", "\xb5m"]
+    texts = ["".join(r.choices(pieces, k=r.randrange(12))) for _ in range(400)]
+    texts[5:5], texts[100:100], texts[300:300] = ["", " \n"], ["\u212angstr\xf6m \u0141", "a <|endoftext|> b"], ["\u0130x"]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, library = packing._Words(path), Tokenizer.from_file(path)
+    asked: list = []
+    lookup = words.parts.lookup
+    words.parts.lookup = lambda keys, make: asked.extend(keys) or lookup(keys, make)
+    for batch in (texts, texts[100:103], [], [""]):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in words.encode_all(batch)]
+        assert got == [library.encode(text, add_special_tokens=False).ids for text in batch]
+        assert len(asked) == len(set(asked))
+        asked.clear()
