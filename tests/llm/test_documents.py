@@ -174,6 +174,26 @@ def test_sorted_suffixes(seed):
         assert same == n
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_sorted_suffixes_sorts_new_rows_only(monkeypatch, wide):
+    """A round sorts one symbol per string, not the rows of all rounds, whether or not a row and its symbol fit 32 bits."""
+    r = np.random.default_rng(7)
+    lengths = np.sort(r.integers(0, 60, 64))[::-1]
+    strings = [bytes(r.choice([1, 2, 255], n).astype(np.uint8)) for n in lengths]
+    codes, starts = np.frombuffer(b"".join(strings), np.uint8), np.cumsum(lengths) - lengths
+    sizes, by_symbol = [], suffix._by_symbol
+    monkeypatch.setattr(suffix, "_by_symbol", lambda last: sizes.append(len(last)) or by_symbol(last))
+    if wide:
+        monkeypatch.setattr(suffix, "_ROWS", 1 << 7)
+    common, rows = suffix.sorted_suffixes(codes, starts, lengths)
+    assert max(sizes) <= 64
+    by_row = {int(rows[i, j]): s[j:] for i, s in enumerate(strings) for j in range(len(s))}
+    expected = sorted(s[j:] for s in strings for j in range(len(s)))
+    assert [by_row[i] for i in range(64, len(common))] == expected
+    same = [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in zip(expected, expected[1:])]
+    assert common[65:].tolist() == same
+
+
 def test_rows_by_symbol(monkeypatch):
     """Both ways of sorting give the order of a stable sort by the symbol."""
     last = np.random.default_rng(1).integers(0, 256, 5000).astype(np.uint8)
