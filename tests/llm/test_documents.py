@@ -406,3 +406,31 @@ def test_dense_rows_take_little_more_than_the_result():
         one = np.bincount(np.frombuffer(words, np.int16), minlength=decontaminate.FEATURES) * idf
         assert (row == (one / (np.sqrt((one * one).sum()) or 1)).astype(np.float32)).all()
     assert peak < 3 * got.nbytes
+
+
+def test_the_index_is_fitted_on_all_passages(spark, monkeypatch):
+    """The covariance of all passages, repeated features and short ones included, against dense rows; no passage is left out."""
+    rng = np.random.default_rng(9)
+    width = decontaminate.FEATURES
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, n) % 90) for n in [0, 1, 31, 32, 33, *rng.integers(1, 200, 60)]]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    benchmark = spark.createDataFrame([("w1 w2 w3 w1",)], "item_text string").withColumnRenamed("item_text", "text")
+    seen = []
+    exact = decontaminate._covariance
+
+    def kept(parts, whole, idf, directions):
+        seen.append((idf, directions, exact(parts, whole, idf, directions)))
+        return seen[-1][2]
+
+    monkeypatch.setattr(decontaminate, "_covariance", kept)
+    decontaminate.latent_words(docs, benchmark)
+    passages = [decontaminate._feature(decontaminate._of_text(t))[i : i + 32] for t in texts for i in range(0, len(t.split()), 32)]
+    counts = np.stack([np.bincount(p, minlength=width) for p in passages])
+    expected_idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
+    item = np.bincount(decontaminate._feature(decontaminate._of_text("w1 w2 w3 w1")), minlength=width)
+    rows = np.vstack([counts, item]) * expected_idf
+    rows /= np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    assert len(seen) == 3
+    for idf, directions, got in seen:
+        assert np.allclose(idf, expected_idf)
+        assert np.allclose(got, rows.T @ (rows @ directions), rtol=1e-4, atol=1e-4)
