@@ -50,9 +50,10 @@ def _rank_key(dot: Column, length2: Column) -> Column:
     return squared / length2.cast("double")
 
 
-def _best(pairs: DataFrame, k: int, by: str = "a", other: str = "b") -> DataFrame:
+def _best(pairs: DataFrame, k: int | None, by: str = "a", other: str = "b") -> DataFrame:
     order = Window.partitionBy(by).orderBy(F.desc(_rank_key(F.col("dot"), F.col("n2b"))), other)
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = pairs.withColumn("rank", F.row_number().over(order))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def _mirrored(pairs: DataFrame) -> DataFrame:
@@ -190,6 +191,36 @@ def _mirrored_within(pairs: DataFrame) -> DataFrame:
     return both.where(_rank_key(F.col("dot"), F.col("n2b")) >= F.col("t")).drop("t")
 
 
+def _all_pairs(entries: DataFrame, block: int) -> DataFrame:
+    """All pairs (a, b, n2a, n2b, dot) of an asking customer and another one that share a product.
+
+    The buyers of a product are listed in blocks of about ``block``, by hash, so no row holds all buyers of a popular one. Each asking buyer
+    gets the blocks, and adds up who is met in several lists: ids, lengths and counts travel, in one number, but no pairs.
+
+    Args:
+        entries: CustomerID, StockCode, q (positive), n2, degree, asks.
+    """
+    name = Packed(entries, "CustomerID", "n2")
+    named = entries.withColumn("name", name.put(F.col("CustomerID"), F.col("n2")))
+    pack = Packed(named, "name", "q")
+    dealt = named.withColumn("parts", F.ceil(F.col("degree") / F.lit(max(block, 1))).cast("int"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("CustomerID"), F.col("parts")).cast("int")).withColumn("e", pack.put(F.col("name"), F.col("q")))
+    lists = dealt.groupBy("StockCode", "parts", "part").agg(F.collect_list("e").alias("others"), F.collect_list(F.when(F.col("asks"), F.col("e"))).alias("askers"))
+    lists = materialise(lists, "buyers")
+    once = lists.where("parts = 1").select(F.explode("askers").alias("x"), "others")
+    many = lists.where("parts > 1")
+    asked = many.select("StockCode", "parts", F.explode("askers").alias("x")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = once.unionByName(asked.join(many.select("StockCode", "part", "others"), ["StockCode", "part"]).select("x", "others"))
+
+    meetings = entries.where("asks").agg(F.sum("degree")).first()[0] or 0
+    tasks = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(meetings) // PAIRS + 1)
+    own = pack.key(F.col("x"))
+    sent = met.select(name.key(own).alias("a"), name.count(own).alias("n2a"), pack.count(F.col("x")).alias("qa"), "others").repartition(tasks, "a")
+    rows = sent.select("a", "n2a", "qa", F.explode("others").alias("y")).groupBy("a", "n2a", pack.key(F.col("y")).alias("y"))
+    pairs = rows.agg(F.sum(F.col("qa") * pack.count(F.col("y"))).alias("dot"))
+    return pairs.select("a", name.key(F.col("y")).alias("b"), "n2a", name.count(F.col("y")).alias("n2b"), "dot").where("a <> b")
+
+
 def _asking(rows: DataFrame, customers: DataFrame) -> DataFrame:
     asked = customers.select("CustomerID", F.lit(True).alias("asks")).distinct()
     return rows.join(asked, "CustomerID", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
@@ -342,9 +373,9 @@ def _popular_only(asking: DataFrame, owned: DataFrame, known: DataFrame, k: int)
 
 
 def nearest_customers(
-    matrix: DataFrame, k: int = 10, customers: DataFrame | None = None, max_pair_degree: int = 1000
+    matrix: DataFrame, k: int | None = 10, customers: DataFrame | None = None, max_pair_degree: int = 1000
 ) -> DataFrame:
-    """The k most similar other customers of every customer, or of the given ones.
+    """The k most similar other customers of every customer, or of the given ones; all of them without ``k``.
 
     Gives (CustomerID, neighbour, similarity, rank); customers that share no product are no
     neighbours. ``max_pair_degree`` decides how a product is treated, never what the result is.
@@ -357,6 +388,9 @@ def nearest_customers(
         .withColumn("popular", F.col("degree") > max_pair_degree),
         "matrix",
     )
+    if k is None:
+        pairs = _all_pairs(tagged.withColumn("asks", F.lit(True)) if customers is None else _asking(tagged, customers), max_pair_degree)
+        return _named(_best(pairs, k))
     asking = tagged if customers is None else tagged.join(customers.select("CustomerID").distinct(), "CustomerID", "left_semi")
     rare, rare_asking = tagged.where("NOT popular"), asking.where("NOT popular")
     popular, popular_asking = tagged.where("popular"), asking.where("popular")
@@ -370,7 +404,11 @@ def nearest_customers(
         only = _popular_only(popular if customers is None else popular_asking, popular, pairs, k)
         # a pair found both ways has its full dot product from the join, which is the larger one
         pairs = pairs.unionByName(only).groupBy("a", "b", "n2a", "n2b").agg(F.max("dot").alias("dot"))
-    return _best(pairs, k).select(
+    return _named(_best(pairs, k))
+
+
+def _named(best: DataFrame) -> DataFrame:
+    return best.select(
         F.col("a").alias("CustomerID"),
         F.col("b").alias("neighbour"),
         (F.col("dot").cast("double") / (F.sqrt(F.col("n2a").cast("double")) * F.sqrt(F.col("n2b").cast("double")))).alias("similarity"),

@@ -304,7 +304,7 @@ QUERIES: dict[str, Query] = {
     # recommendations
     "purchase_matrix": lambda lc: lc.matrix,
     "matrix_stats": lambda lc: similarity.matrix_stats(lc.matrix),
-    "customer_similarity": lambda lc: similarity.nearest_customers(lc.matrix, k=50),
+    "customer_similarity": lambda lc: similarity.nearest_customers(lc.matrix, k=None),
     "top_neighbours": lambda lc: lc.neighbours,
     "top_neighbours_popular_split": lambda lc: similarity.nearest_customers(lc.matrix, max_pair_degree=24),
     "recommendations": lambda lc: lc.recommendations,

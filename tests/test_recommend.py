@@ -72,6 +72,35 @@ def test_asking_for_some_gives_the_same_lists(spark, degree):
     }
 
 
+@pytest.mark.parametrize("degree", [0, 8, 1000])
+@pytest.mark.parametrize("shift", [0, 1 << 45])
+def test_without_k_all_partners_come(spark, degree, shift):
+    """Also with ids too large to travel in one number; some ask or all do."""
+    counts = {c + shift: b for c, b in _random_counts(6, customers=80).items()} | {7000 + shift: {"alone": 3}}
+    expected = {a: rows for a, rows in _nearest(counts, len(counts)).items() if rows}
+    assert max(map(len, expected.values())) > 50
+    for asked in (None, sorted(counts)[5:9]):
+        customers = asked and spark.createDataFrame([(c,) for c in asked], "CustomerID long")
+        got = _as_lists(similarity.nearest_customers(_matrix(spark, counts), None, customers, max_pair_degree=degree))
+        assert got.keys() == {a for a in expected if asked is None or a in asked}
+        for a, rows in got.items():
+            assert [b for b, _ in rows] == [b for b, _ in expected[a]], a
+            assert [s for _, s in rows] == pytest.approx([s for _, s in expected[a]])
+
+
+def test_the_similarity_query_keeps_all_partners(spark, tmp_path):
+    """60 customers who bought one product are partners of each other, all 59 of each."""
+    import datetime
+
+    from basketwise.plans.queries import QUERIES
+    from basketwise.plans.stages import Lifecycle
+
+    lc = Lifecycle(spark, str(tmp_path))
+    lines = [(float(c), f"I{c}", "P", c % 5 + 1, 2.0, datetime.datetime(2020, 1, 1)) for c in range(60)]
+    lc.retail = spark.createDataFrame(lines, "`Customer ID` double, Invoice string, StockCode string, Quantity int, Price double, InvoiceDate timestamp")
+    assert QUERIES["customer_similarity"](lc).groupBy("CustomerID").count().where("count = 59").count() == 60
+
+
 @pytest.mark.parametrize("some", [False, True])
 def test_few_pairs_go_on_and_all_best_are_among_them(spark, monkeypatch, some):
     """90 customers of three wide products: most of their 8,010 ordered pairs cannot be among anybody's three best."""
