@@ -1,5 +1,7 @@
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from basketwise.operators import cluster, master, rfm
 from basketwise.sinks import writers
@@ -124,3 +126,39 @@ def test_sums_leave_a_row_per_task_and_centre_and_equal_the_rows_groups(spark):
     near[[*cluster.AXES, "d"]] = np.rint(near[[*cluster.AXES, "d"]] * cluster.UNIT).astype("int64")
     expected = {place: (len(g), [int(g[a].sum()) for a in cluster.AXES], int(g.d.sum())) for place, g in near.groupby(["start", "at"])}
     assert cluster._sums(points, centres) == expected
+
+
+def test_boxes_give_the_sums_of_all_points(spark):
+    """Ties, equal centres, far outliers and nearly equal points; most boxes are added as a whole."""
+    rng = np.random.default_rng(4)
+    rows = [(i, *map(float, xyz)) for i, xyz in enumerate(np.round(rng.standard_normal((6000, 3)) ** 3, 2))]
+    rows += [(10**6 + i, 0.5, 0.5, 0.5) for i in range(700)] + [(-1, 9e5, -9e5, 1e4), (-2, -9e5, 3.0, 0.0)]
+    points = spark.createDataFrame(rows, "CustomerID long, " + ", ".join(f"{a} double" for a in cluster.AXES)).repartition(3)
+    centres = {s: np.round(rng.standard_normal((k, 3)), 1) for s, k in enumerate([1, 2, 4, 8])}
+    centres[4] = np.array([[0.5, 0.5, 0.5], [0.5, 0.5, 0.5], [-0.5, 0.5, 0.5], [1.5, 0.5, 0.5]])
+    boxes = cluster._boxes(points)
+    assert cluster._moved(boxes, centres) == {place: (n, axes) for place, (n, axes, _) in cluster._sums(points, centres).items()}
+    data = np.vstack([np.frombuffer(r["points"], float).reshape(-1, 3) for r in boxes.collect()])
+    assert sorted(map(tuple, data)) == sorted(r[1:] for r in rows)
+    low, high = np.array([[0.0, 0, 0], [-9, -9, -9], [0, 0, 0]]), np.array([[0.1, 0.1, 0.1], [9, 9, 9], [0.5, 0, 0]])
+    assert cluster._box_tools()[1](low, high, np.array([[0.0, 0, 0], [1, 0, 0]])).tolist() == [0, -1, -1]  # the last touches the border
+
+
+def test_seeds_are_drawn_as_by_ranking_every_point(spark):
+    """The points that tasks leave contain the draws among all points, by hash and distance, whatever the batches."""
+    rng = np.random.default_rng(7)
+    rows = [(int(i), *map(float, xyz)) for i, xyz in zip(rng.integers(-(2**62), 2**62, 9000), rng.standard_normal((9000, 3)) ** 3)]
+    rows += [(5, 0.0, 0.0, 0.0), (6, 0.0, 0.0, 0.0)]
+    points = spark.createDataFrame(rows, "CustomerID long, " + ", ".join(f"{a} double" for a in cluster.AXES)).repartition(2)
+    centres = {0: np.zeros((1, 3)), 1: rng.standard_normal((6, 3)), 2: np.array([rows[0][1:], rows[1][1:]])}
+    wanted, step = [4, 8, 16], 2
+
+    def drawn(away):
+        u = (F.shiftrightunsigned(F.xxhash64("CustomerID", F.col("start") + 1000 * step + cluster.SEED), 11) + 1) / float(2**53 + 1)
+        order = Window.partitionBy("start").orderBy(-F.ln(u) / F.col("d"), "CustomerID")
+        ranked = away.withColumn("n", F.row_number().over(order)).where("n <= 16").orderBy("start", "n").collect()
+        return [(r["start"], r["n"], r["CustomerID"], r["d"]) for r in ranked if r["n"] <= wanted[r["start"]]]
+
+    left = cluster._likely(points, centres, wanted, step)
+    assert left.count() <= points.rdd.getNumPartitions() * (sum(wanted) + 24)
+    assert drawn(left) == drawn(cluster._against(points, centres).where("d > 0"))
