@@ -52,3 +52,26 @@ def test_a_damaged_table_is_made_again(spark, tmp_path):
         _write(spark, target, "a", 3, stop=4)
     spark.range(3).select("id", F.lit(0).cast("long").alias("v")).write.mode("overwrite").parquet(f"{target}/runs/a/t2")
     assert _write(spark, target, "a", 3) == [2, 4, 5, 6, 7]
+
+
+def test_table_counts_make_no_clusters(spark):
+    """The counted tables are those without clusters: K-Means, which nothing here reads, is not run."""
+    from basketwise.plans.queries import QUERIES
+
+    class Stages:
+        def __getattr__(self, name):
+            if name in ("clustered_master", "kmeans_segments"):
+                raise AssertionError(f"{name} is not counted")
+            return spark.range(len(name))
+
+    got = {r["table_name"]: r["row_count"] for r in QUERIES["dash_table_counts"](Stages()).collect()}
+    assert got["master_customers"] == len("master") and got["rfm_segments"] == len("rfm_segments") and len(got) == 6
+
+
+def test_purchases_come_from_the_stored_lines(spark):
+    """Where the clean lines are stored already, the order lines are not read and joined again."""
+    from basketwise.plans.stages import Lifecycle
+
+    lc = Lifecycle(spark, "nowhere")
+    lc.history = spark.createDataFrame([(1, "A", 2), (1, "A", 3), (2, "B", 1)], "`Customer ID` long, StockCode string, Quantity int")
+    assert sorted(map(tuple, lc.stored_matrix.collect())) == [(1, "A", 5), (2, "B", 1)]
