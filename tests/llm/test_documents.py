@@ -434,3 +434,34 @@ def test_the_index_is_fitted_on_all_passages(spark, monkeypatch):
     for idf, directions, got in seen:
         assert np.allclose(idf, expected_idf)
         assert np.allclose(got, rows.T @ (rows @ directions), rtol=1e-4, atol=1e-4)
+
+
+def test_segments_of_many_collections_hold_the_bytes_of_their_places():
+    """A chunk dealt over hundreds of collections: every packed segment is the text at each of its places."""
+    import pyarrow as pa
+
+    from basketwise.llm import seeds
+
+    class Stage:
+        def mapInArrow(self, run, schema):
+            return run
+
+    r = random.Random(3)
+    texts = [" ".join(r.choices(["abc", "defg", "hi", "jklmno"], k=r.randrange(5, 90))) for _ in range(40)]
+    _, _, data, offsets = next(suffix.text_chunks(pa.array(texts)))
+    _, _, anchors, text = suffix._runs(data, offsets, list(range(40)), 50)
+    known = [seeds.keys_of(anchors[text == i], 40).astype(np.uint32).tobytes() for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(range(40)), pa.array(texts), pa.array(known, pa.binary())], names=list("abcd"))
+    seen = 0
+    for out in suffix._segments(Stage(), 50, 40, 320)([batch]):
+        assert out.num_rows > 50
+        for packed, where in zip(out.column("segments").to_pylist(), out.column("places").to_pylist()):
+            n = int(np.frombuffer(packed, np.uint32, 1)[0])
+            strings = np.frombuffer(packed, suffix._STRING, n, 4)
+            codes = packed[4 + n * suffix._STRING.itemsize :]
+            ends = np.cumsum(strings["size"], dtype=np.int64)
+            held = {int(s): codes[e - z : e] for s, z, e in zip(strings["segment"].view(np.int64), strings["size"], ends)}
+            for segment, sid, start in np.frombuffer(where, suffix._PLACE).tolist():
+                assert texts[sid].encode()[start : start + len(held[segment])] == held[segment]
+                seen += 1
+    assert seen >= len(anchors)
